@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: The code goes to the executors with the tasks, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 #: Separator classes that the contracts name: ASCII white space, and ASCII other than letters and digits.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
