@@ -20,7 +20,7 @@ GOLDEN = 0.6180339887498949  # the fractional part of the golden ratio
 BLOCK = 4096  # tokens a slot holds, about
 LEAST_SLOTS = 4096  # of a mix, so that small ones come near their weights too
 CHUNK = 1 << 16  # slots that are ranked in one go
-BUCKET_ROWS = 50_000  # rows of a stream that are laid end to end in one task
+BUCKET_ROWS = 2_000  # rows of a stream that are laid end to end in one task
 
 
 def n_words(text: Column) -> Column:
