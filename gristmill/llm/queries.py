@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, mixing, mpeg_audio, pii, sharding, toxicity, url_filter
+from . import decontaminate, language_id, licenses, mixing, mpeg_audio, pii, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_histogram_sharding": sharding.op1_histogram_sharding,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_mpeg_audio": mpeg_audio.op4_mpeg_audio,
+    "op5_language_id": language_id.op5_language_id,
     "op7_source_mixing": mixing.op7_source_mixing,
     "op8_pii": pii.op8_pii,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
