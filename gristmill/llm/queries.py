@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, licenses, mixing, mpeg_audio, pii, sharding, toxicity, url_filter
+from . import decontaminate, language_id, licenses, mixing, mpeg_audio, ngram_join, pii, sharding, toxicity, url_filter
 
 QUERIES = {
     "op1_histogram_sharding": sharding.op1_histogram_sharding,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_license_scan": licenses.op3_license_scan,
     "op4_mpeg_audio": mpeg_audio.op4_mpeg_audio,
     "op5_language_id": language_id.op5_language_id,
+    "op6_ngram_jaccard_join": ngram_join.op6_ngram_jaccard_join,
     "op7_source_mixing": mixing.op7_source_mixing,
     "op8_pii": pii.op8_pii,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
