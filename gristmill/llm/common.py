@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 #: The code goes to the executors with the tasks, so they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
-#: Separator classes that the contracts name: ASCII white space, and ASCII other than letters and digits.
-SPACE_WORD = r"[^\x20\x09-\x0D]+"
-ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts words in the contracts: ASCII white space, or ASCII other than letters and digits. (Lower-casing A-Z first would part them alike.)
+SPACE = r"[\x20\x09-\x0D]+"
+NOT_ALNUM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,11 +54,37 @@ def ensure(df: DataFrame, **kinds: str) -> DataFrame:
     return df.select(*((F.col(f"`{c}`") if c in have else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()))
 
 
+def parted(text: Column, by: str) -> Column:
+    """The words of a text, and an empty string before and after them where the text begins or ends with what parts words."""
+    return F.split(text, by)
+
+
+def word_count(text: Column, by: str) -> Column:
+    """The number of words; a null text has none."""
+    words = parted(text, by)
+    ends = (F.element_at(words, 1) == "").cast("int") + (F.element_at(words, -1) == "").cast("int")
+    return F.greatest(F.lit(0), F.coalesce(F.size(words) - ends, F.lit(0))).cast("long")
+
+
 def held_out(doc_id: Column, mod: int, rest: int) -> Column:
     """Whether crc32(doc_id as text) mod `mod` is `rest`; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod == rest, F.lit(False))
 
 
+FILTER_BITS = 1 << 23  # of the filter that spares rows an exchange: 1 MB at most
+
+
+def maybe_in(df: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, Column]:
+    """`df` with a bit that is set where `key` is in `wanted` (key), and for a few others. The filter is a bitmap of fixed size, so it may be broadcast at any scale."""
+    spot = lambda c: F.pmod(F.xxhash64(F.lit("spot"), c), F.lit(FILTER_BITS))
+    bits = wanted.select(spot(F.col(key)).alias("spot")).groupBy(F.expr("bitmap_bucket_number(spot)").alias("f_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(spot))").alias("f_bits"))
+    df = df.withColumn("f_spot", spot(F.col(key)))
+    joined = df.join(F.broadcast(bits), F.expr("bitmap_bucket_number(f_spot)") == F.col("f_bucket"), "left").drop("f_bucket")
+    joined = joined.withColumn("f_byte", F.expr("conv(hex(substring(f_bits, cast(bitmap_bit_position(f_spot) div 8 as int) + 1, 1)), 16, 10)").cast("int"))
+    bit = F.coalesce(F.expr("f_bits is not null") & (F.expr("shiftright(f_byte, cast(bitmap_bit_position(f_spot) % 8 as int)) % 2 = 1")), F.lit(False))
+    return joined, bit
+
+
 def map_batches(df: DataFrame, schema: T.StructType | str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """mapInArrow with one function object per task, so that caches live as long as the task and no longer."""
 

@@ -16,10 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, ensure, keep, table
+from .common import NOT_ALNUM, ensure, keep, maybe_in, parted, table, word_count
 
-#: Words before A-Z are lower-cased: the same runs, since A-Z only become a-z.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 A_Z, A_Z_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A side of so many rows at most is broadcast; beyond, joins shuffle.
 SMALL_ROWS = 200_000
@@ -30,8 +28,8 @@ def lower_a_z(text: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """The words as written; `lower_a_z` of each is the contract's word."""
-    return F.regexp_extract_all(text, F.lit(RAW_WORD), F.lit(0))
+    """The words as written, maybe with an empty string at either end; `lower_a_z` of each is the contract's word."""
+    return parted(text, NOT_ALNUM)
 
 
 def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
@@ -41,7 +39,7 @@ def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
 
 def phrase_windows(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """Of (item_id, text): distinct windows (phrase, words, n) and their (phrase, item_id)."""
-    words = F.regexp_extract_all(lower_a_z(F.col("text")), F.lit(ALNUM_WORD), F.lit(0))
+    words = F.filter(words_of(lower_a_z(F.col("text"))), lambda w: w != "")
     rows = items.select("item_id", words.alias("w")).where(F.size("w") > 0)
     starts = F.explode(F.expr(f"sequence(1, greatest(1, size(w) - {width} + 1))"))
     rows = rows.select("item_id", "w", starts.alias("i")).select("item_id", F.slice("w", F.col("i"), width).alias("words"))
@@ -51,17 +49,19 @@ def phrase_windows(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
 
 
 def postings(docs: DataFrame, terms: DataFrame, around: int = 0) -> DataFrame:
-    """The index of (key..., text) `docs` for the lower-cased `terms` (term): one row per place, with the words from `around` before to `around` after it."""
+    """The index of (key..., text) `docs` for the lower-cased `terms` (term): one row per place, with the words from `around` before to `around` after it, and how many of those come before."""
     keys = [c for c in docs.columns if c != "text"]
-    places = docs.select(*keys, words_of(F.col("text")).alias("w")).select(*keys, "w", F.posexplode("w").alias("pos", "raw"))
+    # the outer form, as a plain one makes Spark part each text twice, to drop those without words first
+    places = docs.select(*keys, words_of(F.col("text")).alias("w")).select(*keys, "w", F.posexplode_outer("w").alias("pos", "raw"))
     found = places.withColumn("term", F.lower("raw")).join(small(terms), "term")
-    context = [F.slice("w", F.greatest(F.lit(1), F.col("pos") + 1 - around), F.least(F.col("pos"), F.lit(around)) + 1 + around).alias("context")] if around else []
-    return found.select(*keys, "term", "pos", *context)
+    context = [F.slice("w", F.greatest(F.lit(1), F.col("pos") + 1 - around), F.least(F.col("pos"), F.lit(around)) + 1 + around).alias("context"), F.least(F.col("pos"), F.lit(around)).alias("left")] if around else []
+    lead = (F.element_at("w", 1) == "").cast("int")  # the empty string before the first word has place -1
+    return found.select(*keys, "term", (F.col("pos") - lead).alias("pos"), *context)
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, count) over all places of all documents; terms that no document has are absent."""
-    words = docs.select(F.explode(words_of(F.col("text"))).alias("raw")).select(F.lower("raw").alias("term"))
+    words = docs.select(F.explode_outer(words_of(F.col("text"))).alias("raw")).select(F.lower("raw").alias("term"))
     return words.join(small(terms), "term").groupBy("term").count()
 
 
@@ -81,7 +81,7 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, counts: DataFrame, width
     found = postings(docs, anchors.select("term").distinct(), around=width - 1).join(small(anchors), "term")
     # the list of the rarest term, less its offset, is where a phrase may begin; the other terms must stand at their offsets
     start = F.col("pos") - F.col("offset")
-    first = F.least(F.col("pos"), F.lit(width - 1)) - F.col("offset") + 1
+    first = F.col("left") - F.col("offset") + 1
     found = found.where((start >= 0) & (first >= 1)).withColumns({"start": start, "here": F.slice("context", first, F.col("n"))})
     found = found.where((F.size("here") == F.col("n")) & (lower_a_z(F.concat_ws(" ", "here")) == F.concat_ws(" ", "words")))
     return found.select(*keys, "phrase", "start", "n")
@@ -116,12 +116,20 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
     return covered.alias("c").join(named.alias("n"), own[0] & own[1]).select("c.doc_id", "c.text_hash", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
 
 
+def uncontaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
+    """`docs`, all columns, without the texts that hold a benchmark window. Only texts that may be hit are exchanged."""
+    hit = keep(contamination(ensure(docs, doc_id="long", text="string"), ensure(items, item_id="string", text="string"), width).select("text_hash").distinct(), "hit")
+    marked, bit = maybe_in(docs.withColumn("text_hash", F.xxhash64("text", F.length("text"))), "text_hash", hit)
+    marked = marked.withColumn("f_hit", bit)
+    return marked.where("not f_hit").select(*docs.columns).unionByName(marked.where("f_hit").join(hit, "text_hash", "left_anti").select(*docs.columns))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document lie in windows of ten words that benchmark items have too."""
     docs = ensure(table(spark, sf_dir, "documents"), doc_id="long", text="string")
     items = ensure(table(spark, sf_dir, "benchmark"), item_id="string", text="string")
     hit = contamination(docs, items).withColumnRenamed("doc_id", "hit_id").withColumnRenamed("text_hash", "hit_hash")
-    own = docs.select("doc_id", F.xxhash64("text", F.length("text")).alias("text_hash"), F.coalesce(F.regexp_count("text", F.lit(RAW_WORD)), F.lit(0)).cast("long").alias("n_words"))
+    own = docs.select("doc_id", F.xxhash64("text", F.length("text")).alias("text_hash"), word_count(F.col("text"), NOT_ALNUM).alias("n_words"))
     out = own.join(hit, own.doc_id.eqNullSafe(hit.hit_id) & (own.text_hash == hit.hit_hash), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items_list = F.coalesce(F.array_join("items", ","), F.lit(""))

@@ -11,10 +11,10 @@ without words has target 0; empty tables give no rows; repeated rows stand side
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, ensure, keep, table
+from .common import SPACE, ensure, keep, table, word_count
 
 GOLDEN = 0.6180339887498949  # the fractional part of the golden ratio
 BLOCK = 4096  # tokens a slot holds, about
@@ -23,10 +23,6 @@ CHUNK = 1 << 16  # slots that are ranked in one go
 BUCKET_ROWS = 2_000  # rows of a stream that are laid end to end in one task
 
 
-def n_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(SPACE_WORD)), F.lit(0)).cast("long")
-
-
 def share_out(sizes: list[int], weights: list[float], share: float, most: float) -> list[float]:
     """Targets in proportion to the weights that sum to share * sum(sizes), none above `most` times its size; what is over goes to the others by weight."""
     left, targets = share * sum(sizes), [0.0] * len(sizes)
@@ -128,7 +124,16 @@ def words_taken(streams: DataFrame, slots: DataFrame, block: int = BLOCK) -> Dat
 
 def sized_documents(docs: DataFrame) -> DataFrame:
     docs = ensure(docs, doc_id="long", text="string", source="string")
-    return docs.select("doc_id", n_words(F.col("text")).alias("size"), "source", F.xxhash64("doc_id", "text").alias("hash"))
+    return docs.select("doc_id", word_count(F.col("text"), SPACE).alias("size"), "source", F.xxhash64("doc_id", "text").alias("hash"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """`docs`, all columns, each as many times as the mix takes its words, rounded; repeated rows share what is taken of them."""
+    streams, _, slots = mix(keep(sized_documents(docs), "sized"), weights, share, most)
+    times = words_taken(streams, slots).where("taken > 0").groupBy(F.col("hash").alias("m_hash")).agg(F.round(F.sum(F.expr("taken / size")) / F.count(F.lit(1))).cast("int").alias("m_times"))
+    marked = docs.withColumn("m_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    out = marked.join(times.where("m_times > 0"), F.col("m_key") == F.col("m_hash"))
+    return out.withColumn("m_copy", F.explode(F.sequence(F.lit(1), "m_times"))).select(*docs.columns)
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,11 +27,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ensure, in_pieces, keep, table
+from .common import ensure, in_pieces, keep, maybe_in, table
 
 WORDS_KEPT = 200_000  # word hashes that a task keeps
 LANES = [f"s{i}" for i in range(8)]  # of the short sketch, 64 bits each
-FILTER_BITS = 1 << 23  # of the filter that spares texts an exchange: 1 MB at most
 BEST = 2  # leaders that a class is verified against in a round
 ROUNDS = 2
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -141,17 +140,6 @@ def text_id(text: Column) -> Column:
     return F.xxhash64(F.lit("text"), text)
 
 
-def maybe_in(df: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, Column]:
-    """`df` with a bit that is set where `key` is in `wanted` (key), and for a few others. The filter is a bitmap of fixed size, so it may be broadcast at any scale."""
-    spot = lambda c: F.pmod(F.xxhash64(F.lit("spot"), c), F.lit(FILTER_BITS))
-    bits = wanted.select(spot(F.col(key)).alias("spot")).groupBy(F.expr("bitmap_bucket_number(spot)").alias("f_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(spot))").alias("f_bits"))
-    df = df.withColumn("f_spot", spot(F.col(key)))
-    joined = df.join(F.broadcast(bits), F.expr("bitmap_bucket_number(f_spot)") == F.col("f_bucket"), "left").drop("f_bucket")
-    joined = joined.withColumn("f_byte", F.expr("conv(hex(substring(f_bits, cast(bitmap_bit_position(f_spot) div 8 as int) + 1, 1)), 16, 10)").cast("int"))
-    bit = F.coalesce(F.expr("f_bits is not null") & (F.expr("shiftright(f_byte, cast(bitmap_bit_position(f_spot) % 8 as int)) % 2 = 1")), F.lit(False))
-    return joined, bit
-
-
 def close_enough(num: int, den: int) -> Column:
     """Whether sizes and short sketches let the sets of a row, (a_n, a_s0...) and (b_n, b_s0...), be linked."""
     apart = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in LANES))
