@@ -64,7 +64,7 @@ def or_empty(spark: SparkSession, read, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def unzipped(blobs: pd.Series) -> pd.Series:
     """The one member of each archive; null for what is none (SRC-9)."""
 
