@@ -30,12 +30,13 @@ SPLICE = 48  # words of a training sequence
 STEPS, RATE, DECAY = 70, 0.15, 1e-4  # of the fit
 BLOCK = 64  # words of a block in forward-backward
 CACHE = 200_000  # words whose emissions are kept by a task
+RESCALE = 8  # places after which running products are scaled again
 
 
 def word_features(word: str) -> list[str]:
     padded = f"^{word}$"
-    grams = {padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1)}
-    return ["=" + word, *(f"<{word[:n]}" for n in (1, 2, 3, 4)), *(f">{word[-n:]}" for n in (1, 2, 3, 4)), *sorted(grams)[:40]]
+    grams = [padded[i : i + 3] for i in range(len(padded) - 2)]
+    return ["=" + word, "<" + word[:4], ">" + word[-4:], *grams[:40]]
 
 
 @dataclass
@@ -47,9 +48,15 @@ class Field:
     weights: np.ndarray
     transitions: np.ndarray
 
-    def emission(self, word: str) -> np.ndarray:
-        rows = [i for f in word_features(word) if (i := self.features.get(f)) is not None]
-        return self.weights[rows].sum(0) if rows else np.zeros(len(self.langs), np.float32)
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """The summed weights of each word's known features."""
+        known, rows, ends = self.features.get, [], []
+        for word in words:
+            rows.append(len(self.weights))  # a row of zeros, so that no word is without one
+            rows += [i for f in word_features(word) if (i := known(f)) is not None]
+            ends.append(len(rows))
+        weights = np.concatenate((self.weights, np.zeros((1, len(self.langs)), np.float32)))
+        return np.add.reduceat(weights[rows], [0, *ends[:-1]], 0)
 
 
 def forward_backward(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
@@ -69,23 +76,29 @@ def forward_backward(emissions: np.ndarray, lengths: np.ndarray, transitions: np
     e[at] = np.exp(emissions - emissions.max(1, keepdims=True)) + 1e-12
     real = np.zeros(total * BLOCK, bool)
     real[at] = True
-    e, real = e.reshape(total, BLOCK, k), real.reshape(total, BLOCK)
+    e = e.reshape(total, BLOCK, k)
+    pad = [np.flatnonzero(x) for x in ~real.reshape(total, BLOCK).T]  # blocks that have ended before each place
     t = np.exp(transitions - transitions.max()).astype(np.float32)
     forth = np.empty((BLOCK, total, k, k), np.float32)
     back = np.empty((BLOCK, total, k, k), np.float32)
     run = np.broadcast_to(np.eye(k, dtype=np.float32), (total, k, k))
     for i in range(BLOCK):
         new = (run.reshape(-1, k) @ t).reshape(total, k, k) * e[:, i, None, :]
-        new /= new.sum((1, 2), keepdims=True)
-        run = np.where(real[:, i, None, None], new, run)
-        forth[i] = run
+        if i % RESCALE == 0:
+            new /= new.sum((1, 2), keepdims=True)
+        if len(pad[i]):
+            new[pad[i]] = run[pad[i]]
+        forth[i] = run = new
     whole = run
     run = np.broadcast_to(np.eye(k, dtype=np.float32), (total, k, k))  # transposed products of what follows
     for i in range(BLOCK - 1, -1, -1):
         back[i] = run
         new = ((run * e[:, i, None, :]).reshape(-1, k) @ t.T).reshape(total, k, k)
-        new /= new.sum((1, 2), keepdims=True)
-        run = np.where(real[:, i, None, None], new, run)
+        if i % RESCALE == 0:
+            new /= new.sum((1, 2), keepdims=True)
+        if len(pad[i]):
+            new[pad[i]] = run[pad[i]]
+        run = new
     into, out_of = np.empty((total, k), np.float32), np.empty((total, k), np.float32)
     single = blocks == 1
     into[first], out_of[first[single]] = 1 / k, 1 / k
@@ -206,9 +219,10 @@ def identify_language(docs: DataFrame, field: Field | None) -> DataFrame:
                     at.clear()
                     new = set(flat)
                     emissions = np.zeros((max(CACHE, len(new)), k), np.float32)
-                for w in new:
-                    emissions[len(at)] = field.emission(w)
-                    at[w] = len(at)
+                if new:
+                    new = list(new)
+                    emissions[len(at) : len(at) + len(new)] = field.emissions(new)
+                    at.update(zip(new, range(len(at), len(at) + len(new)), strict=True))
                 own = lengths[some]
                 marginals = forward_backward(emissions[list(map(at.__getitem__, flat))], own, field.transitions)
                 starts = np.concatenate(([0], np.cumsum(own)[:-1]))
