@@ -66,6 +66,11 @@ def word_count(text: Column, by: str) -> Column:
     return F.greatest(F.lit(0), F.coalesce(F.size(words) - ends, F.lit(0))).cast("long")
 
 
+def packed(df: DataFrame, *keys: str) -> DataFrame:
+    """The named columns, and whole rows as `g_row`, so that no helper column meets one of the table's own names."""
+    return df.select(*keys, F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("g_row"))
+
+
 def held_out(doc_id: Column, mod: int, rest: int) -> Column:
     """Whether crc32(doc_id as text) mod `mod` is `rest`; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod == rest, F.lit(False))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ensure, keep, maybe_in, parted, table, word_count
+from .common import NOT_ALNUM, ensure, keep, maybe_in, packed, parted, table, word_count
 
 A_Z, A_Z_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A side of so many rows at most is broadcast; beyond, joins shuffle.
@@ -119,9 +119,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFra
 def uncontaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """`docs`, all columns, without the texts that hold a benchmark window. Only texts that may be hit are exchanged."""
     hit = keep(contamination(ensure(docs, doc_id="long", text="string"), ensure(items, item_id="string", text="string"), width).select("text_hash").distinct(), "hit")
-    marked, bit = maybe_in(docs.withColumn("text_hash", F.xxhash64("text", F.length("text"))), "text_hash", hit)
+    marked, bit = maybe_in(packed(docs, "text").withColumn("text_hash", F.xxhash64("text", F.length("text"))).drop("text"), "text_hash", hit)
     marked = marked.withColumn("f_hit", bit)
-    return marked.where("not f_hit").select(*docs.columns).unionByName(marked.where("f_hit").join(hit, "text_hash", "left_anti").select(*docs.columns))
+    return marked.where("not f_hit").select("g_row.*").unionByName(marked.where("f_hit").join(hit, "text_hash", "left_anti").select("g_row.*"))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, ensure, keep, table, word_count
+from .common import SPACE, ensure, keep, packed, table, word_count
 
 GOLDEN = 0.6180339887498949  # the fractional part of the golden ratio
 BLOCK = 4096  # tokens a slot holds, about
@@ -131,9 +131,9 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     """`docs`, all columns, each as many times as the mix takes its words, rounded; repeated rows share what is taken of them."""
     streams, _, slots = mix(keep(sized_documents(docs), "sized"), weights, share, most)
     times = words_taken(streams, slots).where("taken > 0").groupBy(F.col("hash").alias("m_hash")).agg(F.round(F.sum(F.expr("taken / size")) / F.count(F.lit(1))).cast("int").alias("m_times"))
-    marked = docs.withColumn("m_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    marked = packed(docs, "doc_id", "text").select(F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("m_key"), "g_row")
     out = marked.join(times.where("m_times > 0"), F.col("m_key") == F.col("m_hash"))
-    return out.withColumn("m_copy", F.explode(F.sequence(F.lit(1), "m_times"))).select(*docs.columns)
+    return out.select("g_row", F.explode(F.sequence(F.lit(1), "m_times")).alias("m_copy")).select("g_row.*")
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,21 +132,21 @@ def read_stream(data: bytes, headers: Memo | None = None, sums: Memo | None = No
                 out["tags"][key.decode("utf-8", "replace")] = value.decode("utf-8", "replace")
             p += 10 + n
     end = len(data) - 128 if data[-128:-125] == b"TAG" else len(data)
-    locked = False
+    locked = None
     while at + HEAD <= end:
         head = headers[data[at : at + HEAD]]
         good = head is not None and at + head[0] <= end
-        if good and not locked:  # a header is believed if another one, or the end, follows it
-            after = at + head[0]
-            good = after == end or headers[data[after : after + HEAD]] is not None
+        if good:  # version, layer and rate hold for a stream; without a lock, a header is believed if one of its kind, or the end, follows it
+            kind, after = (data[at + 1] & 0x1E, data[at + 2] & 0x0C), at + head[0]
+            good = kind == locked if locked else after == end or after + HEAD <= end and headers[data[after : after + HEAD]] is not None and (data[after + 1] & 0x1E, data[after + 2] & 0x0C) == kind
         if not good:
             found = data.find(b"\xff", at + 1, end)
-            out["lost"] += locked
+            out["lost"] += locked is not None
             out["skipped"] += (found if found >= 0 else end) - at
-            at, locked = (found if found >= 0 else end), False
+            at, locked = (found if found >= 0 else end), None
             continue
         size, samples, rate, side, checked = head
-        locked = True
+        locked = kind
         body = at + HEAD + (CRC if checked else 0)
         if checked and side >= 0 and sums[data[at + 2 : at + 4] + data[body : body + side]] != data[at + 4] << 8 | data[at + 5]:
             out["crc_bad"] += 1

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ensure, in_pieces, keep, maybe_in, table
+from .common import ensure, in_pieces, keep, maybe_in, packed, table
 
 WORDS_KEPT = 200_000  # word hashes that a task keeps
 LANES = [f"s{i}" for i in range(8)]  # of the short sketch, 64 bits each
@@ -253,10 +253,10 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
 def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """`docs`, all columns, without the documents whose component has a smaller doc_id. Rows of one doc_id stay or go together; a null doc_id stays."""
     gone = keep(link_components(docs, width, num, den).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    marked, hit = maybe_in(docs, "doc_id", gone)
+    marked, hit = maybe_in(packed(docs, "doc_id"), "doc_id", gone)
     marked = marked.withColumn("f_hit", hit)
     # most documents are surely kept and needn't be exchanged
-    return marked.where("not f_hit").select(*docs.columns).unionByName(marked.where("f_hit").select(*docs.columns).join(gone, "doc_id", "left_anti").select(*docs.columns))
+    return marked.where("not f_hit").select("g_row.*").unionByName(marked.where("f_hit").join(gone, "doc_id", "left_anti").select("g_row.*"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

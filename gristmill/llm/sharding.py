@@ -69,7 +69,7 @@ def find_splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -
 
 
 def histogram_shard(df: DataFrame, shards: int = 16, payload: list[str] | None = None, text: str = "text", doc_id: str = "doc_id", tolerance: float = TOLERANCE) -> DataFrame:
-    """`payload` columns (all by default) with size, shard (0 up to shards - 1) and slot (its place there, gapless from 0); the bytes of the shards are near equal."""
+    """`payload` columns (all by default) with size, shard (0 up to shards - 1) and slot (its place there, gapless from 0); the bytes of the shards are near equal. A payload column that is itself called size, shard or slot gives way."""
     payload = df.columns if payload is None else payload
     own = {c: f"_p{i}" for i, c in enumerate(payload)}  # no clash with a payload's names
     size = F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long") + 1
