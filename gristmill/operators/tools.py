@@ -46,14 +46,37 @@ class Store:
         return self.documents.select("doc_id").join(self.tables["doc_profiles"], "doc_id", "left_anti")
 
 
-def search_docs(store: Store, query: str, limit: int = 8, car: str | None = None, query_vector: list[float] | None = None, gate: tuple[float, float] = (vec.CEILING, vec.MARGIN), mined: dict | None = None, phrases: dict | None = None) -> DataFrame:
+def in_profile(docs: DataFrame, profile: str | None) -> tuple[DataFrame, str | None]:
+    """Documents whose model, year, engine or title holds the words; if none does, those of the longest word that any holds, then all, with a notice (FT-18)."""
+    if not profile or profile.strip().lower() == "all":
+        return docs, None
+    holds = lambda w: F.coalesce(F.concat_ws("\n", "model", "year", "engine", "title").ilike(f"%{w}%"), F.lit(False))
+    words = sorted(profile.split(), key=lambda w: (-len(w), w))
+    for i, w in enumerate([profile, *words]):
+        rows = docs.where(holds(w))
+        if not rows.isEmpty():
+            return rows, None if i == 0 else f"nothing for '{profile}', shown for '{w}'"
+    return docs, f"nothing for '{profile}', shown for all"
+
+
+def notices(docs: DataFrame, query: str, weak: bool) -> list[str]:
+    """What a reader should know of the results: years that the store lacks, and matches of some words only (FT-23)."""
+    out = []
+    for year in sorted(set(re.findall(r"\b(?:19|20)\d{2}\b", query))):
+        if docs.where(F.contains(F.coalesce("year", F.lit("")), F.lit(year))).isEmpty():
+            out.append(f"no document is tagged {year}")
+    return out + (["only some of the words match"] if weak else [])
+
+
+def search_docs(store: Store, query: str, limit: int = 8, car: str | None = None, profile: str | None = None, query_vector: list[float] | None = None, gate: tuple[float, float] = (vec.CEILING, vec.MARGIN), mined: dict | None = None, phrases: dict | None = None) -> DataFrame:
     """Ranked results with scope, lead text and warnings.
 
     A reference in the query is looked up directly. Else both tiers are ranked by BM25 with priors, own and
     generic documents first; vector neighbours fill free places, or are fused in when no strict match was found.
     """
     limit, vehicle = clamp(limit, 25), store.car.retargeted(car)
-    scoped = rel.scope_labels(store.documents, store.own(vehicle), store.generic())
+    documents, notice = in_profile(store.documents, profile)
+    scoped = rel.scope_labels(documents, store.own(vehicle), store.generic())
     if ref := re.search(r"VCC-\d+", query, re.I):
         hit = scoped.where(F.col("ref").ilike(f"{ref[0]}%")).orderBy("ref", "doc_id").limit(limit)
         return ft.shaped(hit.withColumns({"pos": F.row_number().over(Window.orderBy("ref", "doc_id")) - 1, "rank": F.lit(0.0)}), vehicle.family)
@@ -66,6 +89,7 @@ def search_docs(store: Store, query: str, limit: int = 8, car: str | None = None
         found = ft.relaxed_tier(rows, compiled)
         tiers.append(ft.reranked(ft.penalised(found, rules + extra), compiled))
     rows = ft.blended(tiers[0], tiers[1], limit)
+    said = notices(documents, query, rows.where("strict").isEmpty()) + ([notice] if notice else [])
     if query_vector is not None and "vectors" in store.tables:
         near = vec.gated(vec.nearest(store.tables["vectors"], query_vector, key="doc_id"), *gate)
         ranked = near.select("doc_id", (F.row_number().over(Window.orderBy("dist", "doc_id")) - 1).alias("pos"))
@@ -74,7 +98,7 @@ def search_docs(store: Store, query: str, limit: int = 8, car: str | None = None
         order = Window.orderBy("src", "pos") if strict else Window.orderBy(F.desc("score"), F.asc_nulls_last("lex"), "vec")
         at = mixed.select("doc_id", (F.row_number().over(order) - 1).alias("pos"))
         rows = scoped.join(F.broadcast(at), "doc_id").join(rows.select("doc_id", "rank"), "doc_id", "left")
-    return ft.shaped(rows, vehicle.family).withColumn("snippet", ft.snippet(F.col("text"), compiled.terms)).select("pos", "doc_id", "ref", "title", "scope", "applicability", "rank", "lead", "snippet", "warning").orderBy("pos")
+    return ft.shaped(rows, vehicle.family).withColumn("snippet", ft.snippet(F.col("text"), compiled.terms)).select("pos", "doc_id", "ref", "title", "scope", "applicability", "rank", "lead", "snippet", "warning", F.lit("; ".join(said)).alias("notice")).orderBy("pos")
 
 
 def get_document(store: Store, doc_id: str, offset: int = 0) -> DataFrame:

@@ -163,6 +163,7 @@ def test_tools(spark):
     s = tools.Store(docs)
     rows = tools.search_docs(s, "intake valve", 5).collect()
     assert [(r.doc_id, r.scope) for r in rows] == [("1", "this car"), ("2", "other vehicles")] and rows[0].lead and rows[1].lead is None
+    assert [r.doc_id for r in tools.search_docs(s, "intake valve 1999", 5, profile="V70 B4204T").collect()] == ["2"] and "B4204T" in tools.search_docs(s, "intake 1999", 5, profile="V70 B4204T").first().notice
     assert tools.get_document(s, "VCC-2").first().doc_id == "2"
     assert tools.list_sources(s).count() == 1
 
