@@ -6,6 +6,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -40,14 +41,35 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def keep(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write `df` to the shared folder and read it again: lineage ends there, a lost executor costs no recomputation, and later reads see one fixed version."""
+_scratch: list[list[str]] = []
+
+
+def keep(df: DataFrame, name: str = "t", lasting: int = 0) -> DataFrame:
+    """Write `df` to the shared folder and read it again: lineage ends there, a lost executor costs no recomputation, and later reads see one fixed version.
+
+    Inside `scratch()` the table goes when that ends; one that is lasting by n outlives n of them, and stays where there are no more.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if len(_scratch) > lasting:
+        _scratch[-1 - lasting].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables kept inside are deleted at the end, and so are the shuffle files of what has run. What leaves must be kept as lasting, or must not depend on them."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        spark._jvm.System.gc()  # Spark removes the shuffle files of plans that the driver has collected
+
+
 def ensure(df: DataFrame, **kinds: str) -> DataFrame:
     """Only the named columns, cast to the given types; a missing one is null."""
     have = set(df.columns)

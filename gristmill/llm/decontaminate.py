@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ensure, keep, maybe_in, packed, parted, table, word_count
+from .common import NOT_ALNUM, ensure, keep, maybe_in, packed, parted, scratch, table, word_count
 
 A_Z, A_Z_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A side of so many rows at most is broadcast; beyond, joins shuffle.
@@ -101,6 +101,11 @@ def proximity_matches(docs: DataFrame, phrases: DataFrame, counts: DataFrame, wi
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """Of (doc_id, text) and (item_id, text): (doc_id, text_hash, n_hit, n_items, items), one row for each different document that is hit."""
+    with scratch(docs.sparkSession):
+        return keep(_contamination(docs, items, width), "contamination", lasting=1)
+
+
+def _contamination(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     docs = docs.select("doc_id", F.xxhash64("text", F.length("text")).alias("text_hash"), "text")
     phrases, owners = phrase_windows(items, width)
     phrases, owners = keep(phrases, "phrases"), keep(owners, "owners")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ensure, in_pieces, keep, maybe_in, packed, table
+from .common import ensure, in_pieces, keep, maybe_in, packed, scratch, table
 
 WORDS_KEPT = 200_000  # word hashes that a task keeps
 LANES = [f"s{i}" for i in range(8)]  # of the short sketch, 64 bits each
@@ -153,6 +153,11 @@ def named(df: DataFrame, side: str) -> DataFrame:
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Those of (a, b) that are linked, by their whole sets. Only texts of the classes at hand are exchanged."""
+    with scratch(docs.sparkSession):
+        return _verified(keep(pairs, "pairs"), classes, docs, width, num, den)
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     wanted = keep(ends.join(classes.select("cls", "tid"), "cls"), "ends")
     texts, hit = maybe_in(docs.select("tid", "text"), "tid", wanted)
@@ -169,7 +174,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     both = pairs.join(named(sets, "a"), F.col("a") == F.col("a_cls")).join(named(sets, "b"), F.col("b") == F.col("b_cls"))
     shared = F.size(F.array_intersect("a_elements", "b_elements"))
     linked = shared * den >= (F.size("a_elements") + F.size("b_elements") - shared) * num
-    return keep(both.where(linked).select("a", "b"), "links")
+    return keep(both.where(linked).select("a", "b"), "links", lasting=1)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -204,14 +209,23 @@ def joined_up(comps: DataFrame | None, links: DataFrame) -> DataFrame | None:
 
 def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """Of (doc_id, text): (doc_id, n_shingles, component_id); documents link when den * |A and B| >= num * |A or B|."""
+    with scratch(docs.sparkSession):
+        return keep(_link_components(docs, width, num, den), "components", lasting=1)
+
+
+def _link_components(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     docs = ensure(docs, doc_id="long", text="string").withColumn("tid", text_id(F.col("text")))
-    signed = keep(signatures(docs, width, num, den), "signed")
-    classes = signed.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("tid", "n", *LANES, "keys")))
-    classes = keep(classes, "classes")
+    with scratch(docs.sparkSession):  # keys take room: what holds them goes as soon as it has been used
+        with scratch(docs.sparkSession):
+            all_ = keep(signatures(docs, width, num, den), "signed")
+            wide = all_.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("tid", "n", *LANES, "keys")))
+            wide = keep(wide, "classes", lasting=1)
+            signed = keep(all_.select("doc_id", "n", "cls"), "signed", lasting=2)
+        by_key = Window.partitionBy("key").orderBy(F.xxhash64("key", "cls"), "cls")
+        members = wide.select("cls", F.explode("keys").alias("key")).select("key", "cls", F.first("cls").over(by_key).alias("leader"), F.lag("cls").over(by_key).alias("one"), F.lead("cls").over(by_key).alias("other"))
+        members = keep(members.where("one is not null or other is not null").select("key", "cls", "leader"), "members", lasting=1)
+        classes = keep(wide.drop("keys"), "classes", lasting=1)
     sketches = classes.select("cls", "n", *LANES)
-    by_key = Window.partitionBy("key").orderBy(F.xxhash64("key", "cls"), "cls")
-    members = classes.select("cls", F.explode("keys").alias("key")).select("key", "cls", F.first("cls").over(by_key).alias("leader"), F.lag("cls").over(by_key).alias("one"), F.lead("cls").over(by_key).alias("other"))
-    members = keep(members.where("one is not null or other is not null").select("key", "cls", "leader"), "members")
     comps = None
 
     def sketched(pairs: DataFrame) -> DataFrame:
@@ -231,14 +245,14 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
         near = sketched(pairs.distinct())
         apart = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in LANES))
         best = near.select("a", "b", F.row_number().over(Window.partitionBy("a").orderBy(apart, "b")).alias("rank")).where(F.col("rank") <= BEST)
-        comps = joined_up(comps, verified(keep(best.select("a", "b"), "pairs"), classes, docs, width, num, den))
+        comps = joined_up(comps, verified(best.select("a", "b"), classes, docs, width, num, den))
     # what is left: classes that share a key and aren't joined
     open_ = keep(with_comps(), "open")
     mixed_keys = open_.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
     open_ = keep(open_.join(mixed_keys, "key").join(sketches, "cls"), "open")
     a, b = named(open_, "a"), named(open_, "b")
     rest = a.join(b, (F.col("a_key") == F.col("b_key")) & (F.col("a_comp") < F.col("b_comp")) & close_enough(num, den)).select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct()
-    comps = joined_up(comps, verified(keep(rest, "pairs"), classes, docs, width, num, den))
+    comps = joined_up(comps, verified(rest, classes, docs, width, num, den))
     of_class = classes.select("cls", "least")
     if comps is not None:
         of_class = of_class.join(comps, F.col("cls") == F.col("v"), "left").select("cls", "least", F.coalesce("comp", "cls").alias("comp"))

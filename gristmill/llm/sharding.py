@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ensure, keep
+from .common import ensure, keep, scratch
 
 TEXT_BITS, ID_BITS = 40, 22  # of the key: equal texts stand together, and one text's copies still spread
 KEY_TOP = 1 << (TEXT_BITS + ID_BITS)
@@ -74,9 +74,10 @@ def histogram_shard(df: DataFrame, shards: int = 16, payload: list[str] | None =
     own = {c: f"_p{i}" for i, c in enumerate(payload)}  # no clash with a payload's names
     size = F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long") + 1
     rows = df.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()), size.alias("size"), sort_key(F.col(f"`{text}`"), F.col(f"`{doc_id}`")).alias("key"))
-    narrow = keep(rows.select("key", "size"), "shard-keys")
-    cuts = find_splitters(narrow, shards, tolerance)
-    parts = max(shards, -(-narrow.count() // ROWS_PER_TASK))
+    with scratch(df.sparkSession):
+        narrow = keep(rows.select("key", "size"), "shard-keys")
+        cuts = find_splitters(narrow, shards, tolerance)
+        parts = max(shards, -(-narrow.count() // ROWS_PER_TASK))
     ranged = rows.repartitionByRange(parts, "key", F.xxhash64(*own.values())).sortWithinPartitions("key")
     placed = keep(ranged.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "shard-rows")
     # the place of each row in the whole order: sums over as many rows as there are partitions
