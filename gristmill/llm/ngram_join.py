@@ -31,6 +31,7 @@ from .common import ensure, in_pieces, keep, maybe_in, packed, scratch, table
 
 WORDS_KEPT = 200_000  # word hashes that a task keeps
 LANES = [f"s{i}" for i in range(8)]  # of the short sketch, 64 bits each
+LONG = 4096  # bits of the long sketch, which spares hopeless pairs the exchange of whole sets
 BEST = 2  # leaders that a class is verified against in a round
 ROUNDS = 2
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -100,8 +101,9 @@ def keys_of(elements: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def short_sketch(elements: np.ndarray) -> np.ndarray:
-    odd = np.bincount((mixed(elements, 11) & np.uint64(511)).astype(np.int64), minlength=512) & 1
+def parity_bits(elements: np.ndarray, bits: int, salt: int) -> np.ndarray:
+    """A sketch of so many bits, a power of two, as 64-bit numbers: each element flips one."""
+    odd = np.bincount((mixed(elements, salt) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -111,7 +113,7 @@ def set_class(elements: np.ndarray) -> int:
     return int(mixed(np.array([a ^ mixed(np.array([b], np.uint64), 19)[0]], np.uint64), len(elements)).astype(np.int64)[0])
 
 
-SIGNED = f"doc_id long, tid long, n long, cls long, keys array<long>, {', '.join(f'{x} long' for x in LANES)}"
+SIGNED = f"doc_id long, tid long, n long, cls long, keys array<long>, long_ array<long>, {', '.join(f'{x} long' for x in LANES)}"
 
 
 def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -120,18 +122,20 @@ def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     def run(batches):
         hashes = WordHashes()
         for batch in in_pieces(batches, "text"):
-            sizes, classes, keys, sketches = [], [], [], []
+            sizes, classes, keys, sketches, longs = [], [], [], [], []
             for text in batch.column("text"):
                 elements = shingle_set(text.as_py(), width, hashes)
                 sizes.append(len(elements))
                 some = len(elements) > 0
                 classes.append(set_class(elements) if some else None)
                 keys.append(keys_of(elements, num, den).astype(np.int64) if some else np.empty(0, np.int64))
-                sketches.append(short_sketch(elements) if some else np.zeros(8, np.int64))
+                sketches.append(parity_bits(elements, 512, 11))
+                longs.append(parity_bits(elements, LONG, 23))
             ends = np.concatenate(([0], np.cumsum([len(x) for x in keys]))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
             lanes = np.stack(sketches)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), lists, *(pa.array(lanes[:, i]) for i in range(8))], names=["doc_id", "tid", "n", "cls", "keys", *LANES])
+            long_ = pa.ListArray.from_arrays(pa.array(np.arange(len(longs) + 1, dtype=np.int32) * (LONG // 64)), pa.array(np.concatenate(longs)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), lists, long_, *(pa.array(lanes[:, i]) for i in range(8))], names=["doc_id", "tid", "n", "cls", "keys", "long_", *LANES])
 
     return docs.select("doc_id", "tid", "text").mapInArrow(run, SIGNED)
 
@@ -154,7 +158,11 @@ def named(df: DataFrame, side: str) -> DataFrame:
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Those of (a, b) that are linked, by their whole sets. Only texts of the classes at hand are exchanged."""
     with scratch(docs.sparkSession):
-        return _verified(keep(pairs, "pairs"), classes, docs, width, num, den)
+        known = classes.select("cls", "n", "long_")
+        both = pairs.join(named(known, "a"), F.col("a") == F.col("a_cls")).join(named(known, "b"), F.col("b") == F.col("b_cls"))
+        apart = F.aggregate(F.zip_with("a_long_", "b_long_", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+        hopeful = both.where(apart * (den + num) <= (F.col("a_n") + F.col("b_n")) * (den - num)).select("a", "b")
+        return _verified(keep(hopeful, "pairs"), classes, docs, width, num, den)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -218,7 +226,7 @@ def _link_components(docs: DataFrame, width: int, num: int, den: int) -> DataFra
     with scratch(docs.sparkSession):  # keys take room: what holds them goes as soon as it has been used
         with scratch(docs.sparkSession):
             all_ = keep(signatures(docs, width, num, den), "signed")
-            wide = all_.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("tid", "n", *LANES, "keys")))
+            wide = all_.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("tid", "n", *LANES, "long_", "keys")))
             wide = keep(wide, "classes", lasting=1)
             signed = keep(all_.select("doc_id", "n", "cls"), "signed", lasting=2)
         by_key = Window.partitionBy("key").orderBy(F.xxhash64("key", "cls"), "cls")
