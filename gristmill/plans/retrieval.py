@@ -159,7 +159,8 @@ def fig1_weights(spark, d):
 
 
 def _figure_docs(spark, d):
-    return docs(spark, d).where("doc_id % 10 = 0").select("doc_id", F.concat(F.left("text", F.lit(300)), F.lit(" [image A1] the with "), F.substring("text", 300, 900), F.lit(" B4204T [image M2]")).alias("text"))
+    """Every document with its whole text, one marker within it and one behind."""
+    return docs(spark, d).select("doc_id", F.concat(F.left("text", F.lit(300)), F.lit(" [image A1] the with "), F.substr("text", F.lit(301)), F.lit(" B4204T [image M2]")).alias("text"))
 
 
 def fig2_markers(spark, d):
