@@ -88,7 +88,7 @@ def prj6_breadcrumbs(spark, d):
 
 @query("with l as (select l_suppkey as section_id, 'S' || l_suppkey::varchar as section_title, l_orderkey * 10 + l_linenumber as seq, p_partkey::varchar as part_number, p_name as description, (l_quantity % 3)::int as qty, 4 + l_linenumber % 2 as type_id from lineitem join part on l_partkey = p_partkey where l_orderkey < 3000) select section_id, '# ' || section_title || chr(10) || string_agg(line, chr(10) order by seq, line) as text from (select *, '- ' || part_number || ' ' || description || case when qty <> 1 then ' (qty ' || qty::varchar || ')' else '' end || case when type_id = 5 then ' [non-stocked]' else '' end as line from l) group by section_id, section_title")
 def prj9_section_documents(spark, d):
-    li = table(spark, d, "lineitem").where("l_orderkey < 3000").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    li = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = li.select(F.col("l_suppkey").alias("section_id"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("section_title"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("p_partkey").cast("string").alias("part_number"), F.col("p_name").alias("description"), (F.col("l_quantity") % 3).cast("int").alias("qty"), (4 + F.col("l_linenumber") % 2).alias("type_id"))
     return rel.section_documents(rows)
 

@@ -36,3 +36,15 @@ def test_figures_read_all(small, spark):
     assert {(r.doc_id, r.ordinal): r.score for r in run("fig3_scores")} == pytest.approx(scores)
     assert {(r.doc_id, r.path, r.served) for r in run("fig6_paths")} == {(i, ("a1.cgm", "m2.png")[n], ("a1.svg", "m2.png")[n]) for (i, n), s in scores.items() if s >= 0}
     assert [(r.doc_id, r.best, r.gate) for r in run("fig7_chosen")] == [(1, 3.0, True)]
+
+
+def test_sections_hold_all_lines(spark, tmp_path):
+    """PRJ-9: orders of any number."""
+    lines = [(key, n, key % 2 + 1, key % 2 + n, float(n)) for key in (1, 2999, 3000, 60000, 5_000_000) for n in (1, 2, 3)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "bolt"), (2, "nut")], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    want = {}
+    for key, n, part, section, _ in lines:
+        line = f"- {part} {('bolt', 'nut')[part - 1]}" + (f" (qty {n % 3})" if n % 3 != 1 else "") + (" [non-stocked]" if n % 2 else "")
+        want[section] = want.get(section, f"# S{section}") + "\n" + line
+    assert dict(map(tuple, catalog.QUERIES["prj9_section_documents"](spark, str(tmp_path)).collect())) == want
