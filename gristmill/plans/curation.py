@@ -85,10 +85,10 @@ def flt22_contract_ends(spark, d):
 @query()
 def flt22_contract(spark, d):
     """FLT-22, DS-11: whole records, with a tool call, checked by the fold."""
-    t = table(spark, d, "documents").where("doc_id < 200")
+    t = table(spark, d, "documents")
     call = F.concat(F.lit("c"), F.col("doc_id").cast("string"))
     answer_to = F.when(F.col("doc_id") % 5 == 0, F.lit("other")).otherwise(call)
-    messages = F.array(cur.message("system", F.lit("s")), cur.message("user", tx.title_of(F.col("text"))), cur.message("assistant", calls=cur.tool_call(call, "search_docs", F.when(F.col("doc_id") % 7 == 0, "{").otherwise('{"query": "x"}'))), cur.message("tool", F.lit("[]"), call_id=answer_to), cur.message("assistant", F.left("text", F.lit(200))))
+    messages = F.array(cur.message("system", F.lit("s")), cur.message("user", tx.title_of(F.col("text"))), cur.message("assistant", calls=cur.tool_call(call, "search_docs", F.when(F.col("doc_id") % 7 == 0, "{").otherwise('{"query": "x"}'))), cur.message("tool", F.lit("[]"), call_id=answer_to), cur.message("assistant", F.col("text")))
     return t.select("doc_id", F.array_join(cur.problems(messages, ("search_docs", "get_document")), ";").alias("problems"))
 
 
@@ -114,7 +114,7 @@ def str7_spec_values(spark, d):
 
 @query("select doc_id, case when doc_id % 2 = 0 then 'gear box' end as topic from documents where doc_id < 10".replace("case when doc_id % 2 = 0 then 'gear box' end", "'gear box'"))
 def prj19_topic(spark, d):
-    return table(spark, d, "documents").where("doc_id < 10").select("doc_id", tx.topic_of(F.element_at(F.array(F.lit("Replacing gear box"), F.lit("gear box"), F.lit("Checking - gear box")), (F.col("doc_id") % 3 + 1).cast("int"))).alias("topic"))
+    return table(spark, d, "documents").select("doc_id", tx.topic_of(F.element_at(F.array(F.lit("Replacing gear box"), F.lit("gear box"), F.lit("Checking - gear box")), (F.col("doc_id") % 3 + 1).cast("int"))).alias("topic"))
 
 
 @query(f"with e as ({EDGES_SQL}), p as ({PROFILES_SQL}) select concat_ws(' | ', nullif(concat_ws(' ', year, model), ''), 'engine ' || engine) as label, count(*) as n from e join p using (profile_id) group by all")

@@ -120,7 +120,7 @@ _LEX_SQL = "select doc_id as description_id, case when lang = 'en' then 'us' els
 
 @query(f"with l as ({_LEX_SQL}) select doc_id, coalesce(u.text, g.text) as text from labels left join (select * from l where language = 'us') u on doc_id = u.description_id left join (select * from l where language = 'gb') g on doc_id = g.description_id")
 def jn4_localised(spark, d):
-    lex = table(spark, d, "documents").select(F.col("doc_id").alias("description_id"), F.when(F.col("lang") == "en", "us").otherwise("gb").alias("language"), F.left("text", F.lit(40)).alias("text"))
+    lex = table(spark, d, "documents").select(F.col("doc_id").alias("description_id"), F.when(F.col("lang") == "en", "us").otherwise("gb").alias("language"), "text")
     return rel.localised(table(spark, d, "labels").select(F.col("doc_id").alias("description_id")), lex).select(F.col("description_id").alias("doc_id"), "text")
 
 

@@ -134,7 +134,10 @@ def ft19_reference(spark, d):
 
 
 def ft21_conflicts(spark, d):
-    rows = docs(spark, d).where("doc_id < 4").select(F.col("doc_id").alias("pos"), F.when(F.col("doc_id") < 2, "this car").otherwise("other vehicles").alias("scope"), F.concat(F.lit("intake manifold bolts "), F.when(F.col("doc_id") < 2, "19").otherwise("20"), F.lit(" Nm")).alias("text"))
+    """FT-21: values stated in the first results of a search through all documents, each a whole text with a sentence behind it."""
+    even = F.col("doc_id") % 2 == 0
+    said = docs(spark, d).withColumns({"text": F.concat("text", F.lit("\nintake manifold bolts "), F.when(even, "19").otherwise("20"), F.lit(" Nm")), "scope": F.when(even, "this car").otherwise("other vehicles")})
+    rows = ft.top_k(ft.bm25(said, SEARCH, relaxed=True), "rank", 12).withColumn("pos", F.row_number().over(Window.orderBy("rank", "doc_id")) - 1)
     return ft.conflicts(rows, ["intake"])
 
 

@@ -48,3 +48,29 @@ def test_sections_hold_all_lines(spark, tmp_path):
         line = f"- {part} {('bolt', 'nut')[part - 1]}" + (f" (qty {n % 3})" if n % 3 != 1 else "") + (" [non-stocked]" if n % 2 else "")
         want[section] = want.get(section, f"# S{section}") + "\n" + line
     assert dict(map(tuple, catalog.QUERIES["prj9_section_documents"](spark, str(tmp_path)).collect())) == want
+
+
+def test_records_of_all_documents(small, spark):
+    """FLT-22: an empty text is no answer; the answer is the whole text."""
+    got = dict(map(tuple, catalog.QUERIES["flt22_contract"](spark, small).collect()))
+    want = {}
+    for i, t in TEXTS.items():
+        bad = ["arguments not JSON"] * (i % 7 == 0) + ["answer to unknown call", "unanswered calls"] * (i % 5 == 0) + ["no answer last"] * (t == "")
+        want[i] = ";".join(bad)
+    assert got == want
+
+
+def test_topics_of_all_documents(small, spark):
+    assert dict(map(tuple, catalog.QUERIES["prj19_topic"](spark, small).collect())) == dict.fromkeys(TEXTS, "gear box")
+
+
+def test_localised_whole_texts(small, spark):
+    spark.createDataFrame([(i,) for i in (*TEXTS, 404)], "doc_id long").write.mode("overwrite").parquet(f"{small}/labels.parquet")
+    assert dict(map(tuple, catalog.QUERIES["jn4_localised"](spark, small).collect())) == {**TEXTS, 404: None}
+
+
+def test_conflicts_among_all_documents(spark, tmp_path):
+    """FT-21: the hits have high ids; one is found by the end of its text, and states a value there."""
+    texts = {i: "nothing here" for i in range(20)} | {100: "thanes reth", 301: "filler " * 500 + "thanes\nintake hose 33 Nm, thanes"}
+    spark.createDataFrame([(i, t, "en", "src1") for i, t in texts.items()], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [tuple(r) for r in catalog.QUERIES["ft21_conflicts"](spark, str(tmp_path)).collect()] == [([19], [20, 33], [20, 33])]
