@@ -135,6 +135,10 @@ def read_stream(data: bytes, headers: Memo | None = None, sums: Memo | None = No
     locked = None
     while at + HEAD <= end:
         head = headers[data[at : at + HEAD]]
+        if locked and head is not None and at + head[0] > end and (data[at + 1] & 0x1E, data[at + 2] & 0x0C) == locked:
+            after = at + head[0]  # a frame of the stream spans the place, so that what looks like a tag is its payload
+            if after == len(data) or headers[data[after : after + HEAD]] is not None and (data[after + 1] & 0x1E, data[after + 2] & 0x0C) == locked:
+                end = len(data)
         good = head is not None and at + head[0] <= end
         if good:  # version, layer and rate hold for a stream; without a lock, a header is believed if one of its kind, or the end, follows it
             kind, after = (data[at + 1] & 0x1E, data[at + 2] & 0x0C), at + head[0]
