@@ -1,108 +1,137 @@
 """Sharding by histogram sort, in DataFrame operations only.
 
-A key is given to each row, so that rows with equal texts stand together. Shard borders are found by
-counting: each round sums the exact bytes and rows in a few equal steps of the key range around every
-border that is still loose, and keeps the one step that holds the border. When all borders are tight the
-rows are exchanged once, by ranges of the key, and numbered without gaps.
+A key is given to each row, so that rows with equal texts stand together. Borders of shards, and of the parts
+that a shard is sorted in, are found by counting: each round sums the exact bytes and rows in equal steps of
+the key range around every border that is still loose, and keeps the one step that holds the border. When
+all are tight enough the rows are exchanged once, each to the part that the borders name, and sorted there.
+A part's first place is known from the counts, so the rows are numbered without gaps as they are.
 
 Defined cases: a null text has size 1 and a null checksum becomes 0; empty tables give no rows and no
-borders; repeated rows share a key, and the border then falls at an exact place among them; columns
-beyond those asked for pass through when `payload` names them.
+borders; a group of equal texts larger than a part or a shard is cut inside, by the hash of its rows; fully
+identical rows share a key and a part, and a shard's border falls at an exact place among them; texts of any
+length are one row each; all columns but the text are payload, whatever their names, and one that is itself
+called size, shard or slot is kept as own_size, own_shard or own_slot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ensure, keep, scratch
+from .common import ensure, keep, scratch, table
 
-TEXT_BITS, ID_BITS = 40, 22  # of the key: equal texts stand together, and one text's copies still spread
-KEY_TOP = 1 << (TEXT_BITS + ID_BITS)
-PROBES = 64  # steps in which a round splits the key range around a border
+TEXT_BITS, ROW_BITS = 40, 22  # of the key: equal texts stand together, and one text's copies still spread
+KEY_BITS = TEXT_BITS + ROW_BITS
+PROBE_BITS = 6  # a round splits the key range around a border into 64 steps
 TOLERANCE = 0.0005  # of a shard's bytes: how far a border may lie from its place
-ROWS_PER_TASK = 200_000
+PART_BYTES = 16 << 20  # of rows that one task sorts, about
+LOOSE = 0.25  # of a part's bytes: how far a border between parts may lie from its place
+FRAME = 64  # bytes a row takes besides its text, about
+
+
+@dataclass
+class Border:
+    """Rows whose key is below `key`, and the first `ties` of those with that key, lie before the border; they are `before` rows."""
 
+    key: int
+    ties: int
+    before: int
 
-def sort_key(text: Column, doc_id: Column) -> Column:
-    """A key of 62 bits: 40 from the text, then 22 from the id."""
+
+def sort_key(text: Column, row: list[Column]) -> Column:
+    """A key of 62 bits: 40 from the text, then 22 from the whole row."""
     high = F.shiftrightunsigned(F.xxhash64(F.lit("text"), text), 64 - TEXT_BITS)
-    low = F.shiftrightunsigned(F.xxhash64(F.lit("id"), doc_id), 64 - ID_BITS)
-    return F.shiftleft(high, ID_BITS).bitwiseOR(low)
+    low = F.shiftrightunsigned(F.xxhash64(F.lit("row"), *row), 64 - ROW_BITS)
+    return F.shiftleft(high, ROW_BITS).bitwiseOR(low)
 
 
-def find_splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
-    """The shards - 1 borders of (key, size) `rows` as (key, n): rows below the key and the key's first n lie before the border.
+def find_borders(rows: DataFrame, goals: list[tuple[float, float]], total: int, count: int) -> list[Border]:
+    """The border for each (bytes before it, slack in bytes) over (key, size) `rows` of `total` bytes and `count` rows.
 
-    Only PROBES sums for each loose border come to the driver in a round, however many rows there are.
+    A round reads the counts of 2 ** PROBE_BITS steps for each border that is still loose, whatever the number of rows.
     """
-    total, count = rows.agg(F.sum("size"), F.count(F.lit(1))).first()
-    if not count:
-        return []
-    goals = [total * i / shards for i in range(1, shards)]
-    slack = total / shards * tolerance
-    # of each border: key range [low, high), bytes below low, bytes and rows inside
-    spans = [[0, KEY_TOP, 0, total, count] for _ in goals]
-    while loose := sorted({(s[0], s[1]) for s in spans if s[1] - s[0] > 1 and s[3] > slack and s[4] > 1}):
-        steps = {span: max(1, -(-(span[1] - span[0]) // PROBES)) for span in loose}
-        step_of = F.lit(None).cast("long")
-        for i, (low, high) in enumerate(loose):  # the ranges are the same or apart
-            step_of = F.when((F.col("key") >= low) & (F.col("key") < high), F.expr(f"{i * PROBES}L + (key - {low}L) div {steps[low, high]}L")).otherwise(step_of)
-        sums = {r[0]: (r[1], r[2]) for r in rows.select(step_of.alias("step"), "size").where("step is not null").groupBy("step").agg(F.sum("size"), F.count(F.lit(1))).collect()}
-        for s, goal in zip(spans, goals, strict=True):
-            if (s[0], s[1]) not in steps:
+    # of each goal: the low end of its step and the step's width in bits; bytes and rows below the low end; bytes and rows inside
+    spans = [[0, KEY_BITS, 0, 0, total, count] for _ in goals]
+    bits = KEY_BITS
+    while True:
+        loose = {s[0] >> bits for s, (_, slack) in zip(spans, goals, strict=True) if s[1] == bits and bits and s[4] > slack and s[5] > 1}
+        if not loose:
+            break
+        finer = max(0, bits - (PROBE_BITS if bits < KEY_BITS else max(PROBE_BITS, (4 * len(goals)).bit_length())))
+        near = rows if bits == KEY_BITS else rows.where(F.shiftright("key", bits).isin(sorted(loose)))
+        sums: dict[int, list[tuple[int, int, int]]] = {}
+        for step, n_bytes, n in near.groupBy(F.shiftright("key", finer).alias("step")).agg(F.sum("size"), F.count(F.lit(1))).collect():
+            sums.setdefault(step >> (bits - finer), []).append((step, n_bytes, n))
+        for steps in sums.values():
+            steps.sort()
+        for s, (goal, _) in zip(spans, goals, strict=True):
+            if s[1] != bits or s[0] >> bits not in loose:
                 continue
-            i, step, (low, high, below, _, _) = loose.index((s[0], s[1])), steps[s[0], s[1]], s
-            for j in range(PROBES):
-                inside, n = sums.get(i * PROBES + j, (0, 0))
-                if below + inside >= goal or low + (j + 1) * step >= high:
-                    s[:] = [low + j * step, min(high, low + (j + 1) * step), below, inside, n]
+            for step, n_bytes, n in sums[s[0] >> bits]:
+                if s[2] + n_bytes >= goal:
                     break
-                below += inside
-    cuts = []
-    for (low, high, below, inside, n), goal in zip(spans, goals, strict=True):
-        if high - low == 1 and inside > slack:  # many rows with one key
-            cuts.append((low, round((goal - below) / inside * n)))
+                s[2], s[3] = s[2] + n_bytes, s[3] + n
+            else:  # rounding of the goal: the last step holds it
+                s[2], s[3] = s[2] - n_bytes, s[3] - n
+            s[0], s[1], s[4], s[5] = step << finer, finer, n_bytes, n
+        bits = finer
+    out = []
+    for (low, width, below, n_below, inside, n), (goal, slack) in zip(spans, goals, strict=True):
+        if not width and inside > slack and n > 1:  # many rows with one key
+            ties = min(n, max(0, round((goal - below) / inside * n)))
+            out.append(Border(low, ties, n_below + ties))
+        elif goal - below <= below + inside - goal:
+            out.append(Border(low, 0, n_below))
         else:
-            cuts.append((low, 0) if goal - below <= below + inside - goal else (high, 0))
-    return cuts
+            out.append(Border(low + (1 << width), 0, n_below + n))
+    return sorted(out, key=lambda b: b.before)
+
 
+def borders_up_to(keys: list[int], key: Column) -> Column:
+    """How many of the sorted `keys` are at most `key`: a binary search."""
+    if not keys:
+        return F.lit(0)
+    steps = [1 << i for i in reversed(range(len(keys).bit_length()))]
+    at = F.lit(keys).cast("array<long>")
+    return F.aggregate(F.lit(steps), F.lit(0), lambda n, step: F.when(F.get(at, n + step - 1) <= key, n + step).otherwise(n))
 
-def histogram_shard(df: DataFrame, shards: int = 16, payload: list[str] | None = None, text: str = "text", doc_id: str = "doc_id", tolerance: float = TOLERANCE) -> DataFrame:
-    """`payload` columns (all by default) with size, shard (0 up to shards - 1) and slot (its place there, gapless from 0); the bytes of the shards are near equal. A payload column that is itself called size, shard or slot gives way."""
+
+def hashable(kind: T.DataType) -> bool:
+    return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
+
+
+def histogram_shard(df: DataFrame, shards: int = 16, payload: list[str] | None = None, text: str = "text", tolerance: float = TOLERANCE) -> DataFrame:
+    """`payload` columns (all by default) with size, shard (0 up to shards - 1) and slot (its place there, gapless from 0); the bytes of the shards are near equal."""
     payload = df.columns if payload is None else payload
     own = {c: f"_p{i}" for i, c in enumerate(payload)}  # no clash with a payload's names
     size = F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)).cast("long") + 1
-    rows = df.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()), size.alias("size"), sort_key(F.col(f"`{text}`"), F.col(f"`{doc_id}`")).alias("key"))
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name in own and hashable(f.dataType)]
+    rows = df.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()), size.alias("size"), sort_key(F.col(f"`{text}`"), hashed).alias("key"))
     with scratch(df.sparkSession):
         narrow = keep(rows.select("key", "size"), "shard-keys")
-        cuts = find_splitters(narrow, shards, tolerance)
-        parts = max(shards, -(-narrow.count() // ROWS_PER_TASK))
-    ranged = rows.repartitionByRange(parts, "key", F.xxhash64(*own.values())).sortWithinPartitions("key")
-    placed = keep(ranged.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), "shard-rows")
-    # the place of each row in the whole order: sums over as many rows as there are partitions
-    firsts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
-    placed = placed.join(F.broadcast(firsts.select("part", F.coalesce("before", F.lit(0)).alias("before"))), "part").withColumn("at", F.col("at") + F.col("before"))
-    tied = [k for k, n in cuts if n]
-    if tied:
-        starts = placed.where(F.col("key").isin(tied)).groupBy("key").agg(F.min("at").alias("first"))
-        placed = placed.join(F.broadcast(starts), "key", "left")
-    else:
-        placed = placed.withColumn("first", F.lit(None).cast("long"))
-    shard = F.lit(0)
-    for key, n in cuts:
-        past = F.col("key") >= key if not n else (F.col("key") > key) | ((F.col("key") == key) & (F.col("at") - F.col("first") >= n))
-        shard = shard + past.cast("int")
-    placed = placed.withColumn("shard", shard)
-    bases = placed.groupBy("shard").agg(F.min("at").alias("base"))  # one row a shard
-    out = placed.join(F.broadcast(bases), "shard").withColumn("slot", F.col("at") - F.col("base"))
-    return out.select(*(F.col(n).alias(c) for c, n in own.items() if c not in ("size", "shard", "slot")), "size", F.col("shard").cast("int"), F.col("slot").cast("long"))
+        total, count = narrow.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+        cuts = find_borders(narrow, [(total * i / shards, total / shards * tolerance) for i in range(1, shards)], total, count) if count else []
+        # parts: what is sorted in one task; their borders are those of the shards and some between
+        moved = count * FRAME + (total if text in own else 0)
+        parts = max(shards, -(-moved // PART_BYTES))
+        goals = [(total * i / parts, total / parts * LOOSE) for i in range(1, parts)] if parts > shards else []
+        edges = sorted({(b.key, b.before) for b in [*cuts, *(find_borders(narrow, goals, total, count) if goals else [])] if not b.ties})
+    # a part begins at the first row of its key; the borders inside a key's rows don't part it
+    keys = [k for k, _ in edges]
+    firsts = [0, *(n for _, n in edges)]
+    placed = rows.withColumn("part", borders_up_to(keys, F.col("key"))).repartitionById(len(firsts), "part").sortWithinPartitions("key", F.xxhash64(F.lit("row"), *(own[f.name] for f in df.schema.fields if f.name in own and hashable(f.dataType))))
+    placed = placed.withColumn("at", F.get(F.lit(firsts).cast("array<long>"), F.col("part")) + F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    starts = [0, *(b.before for b in cuts)]
+    out = placed.withColumn("shard", borders_up_to(starts[1:], F.col("at"))).withColumn("slot", F.col("at") - F.get(F.lit(starts).cast("array<long>"), F.col("shard")))
+    named = {c: f"own_{c}" if c in ("size", "shard", "slot") else c for c in own}
+    return out.select(*(F.col(n).alias(named[c]) for c, n in own.items()), "size", F.col("shard").cast("int"), F.col("slot").cast("long"))
 
 
 def op1_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 15 by the law `bytes`."""
-    from .common import table
-
     docs = ensure(table(spark, sf_dir, "documents"), doc_id="long", text="string")
     docs = docs.withColumn("text_crc32", F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long"))
     out = histogram_shard(docs, payload=["doc_id", "text_crc32"])
