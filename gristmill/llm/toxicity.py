@@ -8,7 +8,8 @@ list of plain words stands in where no label speaks.
 
 Defined cases: null and empty texts score 0; labels that are null or missing teach nothing, and without
 any labels the plain list alone holds; repeated training texts teach once; a doc_id with several labels is
-toxic if one is; empty tables give no rows.
+toxic if one is; empty tables give no rows; texts of any length and make are read whole, in time in
+proportion to it; ties between a word and its stem go to the greater weight; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ensure, held_out, map_batches, table
+from .common import ensure, held_out, keep, map_batches, scratch, table
 
 #: Plain words, and phrases in which such words mean no harm.
 PLAIN = ("clown", "disgusting", "idiot", "idiots", "imbecile", "loser", "losers", "moron", "morons", "pathetic", "scum", "scumbag", "stupid", "trash", "vermin", "worthless")
@@ -32,24 +33,40 @@ DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
 FOLD = str.maketrans(LOOKALIKES | {chr(0xFF41 + i): chr(97 + i) for i in range(26)} | {c: None for c in "​‌‍⁠­﻿"})
 UNDIGIT = str.maketrans(DIGITS)
 ODD = re.compile(r"[0-9@$!]")
-MIXED = re.compile(r"(?:[0-9@$!]+[^\W\d_]|[^\W\d_]+[0-9@$!]+[^\W\d_])(?:[^\W_]|[@$!](?=[^\W_]))*")
+LOOKS = re.compile("[" + "".join(map(chr, FOLD)) + "]")
+RUN = re.compile(r"(?:[^\W_]|[@$!])+")
 WORD = re.compile(r"[^\W\d_]+")
 
 SAMPLE, CLEAN_SAMPLE = 3000, 30_000  # training documents of each label, and clean ones for a second look, at most, about: the bounds of the fit
 STEMS = (4, 5, 6, 7)  # lengths of stems
 LEAST_SHARE, LEAST_DOCS, PURITY = 0.01, 4, 0.95
 DOUBT = 4  # clean documents of the sample that each entry is taken to stand in besides those seen
-LEXICON = 8000  # entries that get a second look at most
 PRIOR, TOP_WEIGHT = 2.5, 4.5
 BLOCK_AT = 0.7
 SCALE = 500  # words after which a text counts as long
 
 
 def fold(text: str) -> str:
-    low = text.lower().translate(FOLD)
-    if ODD.search(low):
-        low = MIXED.sub(lambda m: m[0].translate(UNDIGIT), low)
-    return low
+    """Lower case, look-alike letters made plain, and digits and signs made letters in runs that hold one before a letter. Every place is looked at a bounded number of times."""
+    low = text.lower()
+    if not low.isascii() and LOOKS.search(low):
+        low = low.translate(FOLD)
+    out, done = [], 0
+    for odd in ODD.finditer(low):
+        at = begin = odd.start()
+        if at < done:
+            continue
+        while begin > done and low[begin - 1].isalnum():  # the letters of its run that stand before it
+            begin -= 1
+        end = RUN.match(low, at).end()
+        body = low[begin:end].rstrip("@$!")  # signs behind a word are no letters
+        last = next((i for i in range(len(body) - 1, -1, -1) if body[i].isalpha()), 0)  # digits behind it alone change nothing
+        if ODD.search(body, 0, last):
+            out += (low[done:begin], body.translate(UNDIGIT), low[begin + len(body) : end])
+        else:
+            out.append(low[done:end])
+        done = end
+    return "".join((*out, low[done:])) if out else low
 
 
 def automaton(weights: dict[str, float], exceptions=EXCEPTIONS) -> ahocorasick.Automaton:
@@ -86,7 +103,17 @@ def lexicon_hits(low: str, lexicon: ahocorasick.Automaton) -> list[float]:
     starts: dict[int, float] = {}  # one hit a word
     for begin, weight in hits:
         starts[begin] = max(weight, starts.get(begin, 0.0))
-    return [w for b, w in starts.items() if not any(x <= b < y for x, y in safe)]
+    if not safe:
+        return list(starts.values())
+    safe.sort()
+    out, i, until = [], 0, 0
+    for begin in sorted(starts):
+        while i < len(safe) and safe[i][0] <= begin:
+            until = max(until, safe[i][1])
+            i += 1
+        if begin >= until:
+            out.append(starts[begin])
+    return out
 
 
 def score_text(text: str | None, lexicon: ahocorasick.Automaton) -> tuple[float, int]:
@@ -139,12 +166,18 @@ def count_features(sample: DataFrame, only: frozenset[str] | None = None) -> Dat
 
 def learn_weights(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> dict[str, float]:
     """Weights of words and stems: log odds of standing in a toxic text, for those that are nearly pure."""
-    first = {r.feature: r for r in count_features(training_sample(docs, labels, {1: most, 0: most})).where(F.col("bad") >= LEAST_DOCS).where((F.col("feature") == "") | (F.col("ratio") <= 0.25)).orderBy(F.col("feature") != "", F.desc("bad"), "feature").limit(LEXICON).collect()}
-    if "" not in first:
+    with scratch(docs.sparkSession):
+        return _learn_weights(docs, labels, most)
+
+
+def _learn_weights(docs: DataFrame, labels: DataFrame, most: int) -> dict[str, float]:
+    seen = keep(count_features(training_sample(docs, labels, {1: most, 0: most})), "features")
+    all_ = seen.where("feature = ''").first()
+    if all_ is None or not all_.bad:
         return {"w:" + w: PRIOR for w in PLAIN}
-    n_bad = first.pop("").bad
-    least = max(LEAST_DOCS, round(LEAST_SHARE * n_bad))
-    first = {f: r for f, r in first.items() if r.bad >= least}
+    n_bad = all_.bad
+    least = max(LEAST_DOCS, round(LEAST_SHARE * n_bad))  # this share bounds the entries by a hundred times the features of a text of the sample
+    first = {r.feature: r for r in seen.where((F.col("bad") >= least) & (F.col("ratio") <= 0.25) & (F.col("feature") != "")).collect()}
     second = {r.feature: r for r in count_features(training_sample(docs, labels, {1: most, 0: CLEAN_SAMPLE}), frozenset(first)).collect()}
     n_good = second[""].good
     rows = [r for f, r in second.items() if f and r.bad >= least and 1 / (1 + r.ratio) >= PURITY]
