@@ -10,11 +10,15 @@ bound of the difference as well, rejects most other pairs, and the shingles them
 
 Only components are wanted, so not all pairs of a large group of near copies are looked at: sets equal to
 each other are one class; then each class is held against a few leaders, one for each key it shares, and
-after that only pairs that aren't joined yet are looked at, wherever they share a key.
+after that only pairs that aren't joined yet are looked at, wherever they share a key. A key that many classes
+share is never one task's: leaders are found by partial aggregation, looked up under salted keys, and what
+is left of such a key is compared block by block.
 
 Defined cases: null texts, empty ones and such without words have no set, link with nothing and are their
 own component; a text of fewer words than a shingle is one shingle; repeated rows and equal texts are
-linked; a null doc_id takes part and never names a component; ties fall to the smallest doc_id.
+linked; a null doc_id takes part and never names a component; ties fall to the smallest doc_id; a very long
+text is a piece of its own and its set is exact; empty tables give no rows; other columns aren't read, and
+`one_of_each` passes them through whatever their names.
 """
 
 from __future__ import annotations
@@ -27,12 +31,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ensure, in_pieces, keep, maybe_in, packed, scratch, table
+from .common import ensure, in_arrow, in_pieces, keep, maybe_in, packed, scratch, table
 
 WORDS_KEPT = 200_000  # word hashes that a task keeps
 LANES = [f"s{i}" for i in range(8)]  # of the short sketch, 64 bits each
 LONG = 4096  # bits of the long sketch, which spares hopeless pairs the exchange of whole sets
 BEST = 2  # leaders that a class is verified against in a round
+HOT = 50_000  # members of a key that are looked up in one task
+BLOCK = 2_000  # members of a key that are held against as many others in one task
 ROUNDS = 2
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -121,7 +127,7 @@ def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
     def run(batches):
         hashes = WordHashes()
-        for batch in in_pieces(batches, "text"):
+        for batch in in_pieces(batches):
             sizes, classes, keys, sketches, longs = [], [], [], [], []
             for text in batch.column("text"):
                 elements = shingle_set(text.as_py(), width, hashes)
@@ -137,7 +143,7 @@ def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
             long_ = pa.ListArray.from_arrays(pa.array(np.arange(len(longs) + 1, dtype=np.int32) * (LONG // 64)), pa.array(np.concatenate(longs)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), lists, long_, *(pa.array(lanes[:, i]) for i in range(8))], names=["doc_id", "tid", "n", "cls", "keys", "long_", *LANES])
 
-    return docs.select("doc_id", "tid", "text").mapInArrow(run, SIGNED)
+    return in_arrow(docs.select("doc_id", "tid", "text"), run, SIGNED)
 
 
 def text_id(text: Column) -> Column:
@@ -173,12 +179,12 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
     def run(batches):
         hashes = WordHashes()
-        for batch in in_pieces(batches, "text"):
+        for batch in in_pieces(batches):
             sets = [shingle_set(x.as_py(), width, hashes).view(np.int64) for x in batch.column("text")]
             ends_ = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.ListArray.from_arrays(pa.array(ends_), pa.array(np.concatenate(sets)))], names=["cls", "elements"])
 
-    sets = keep(texts.select("cls", "text").mapInArrow(run, "cls long, elements array<long>"), "sets")
+    sets = keep(in_arrow(texts.select("cls", "text"), run, "cls long, elements array<long>"), "sets")
     both = pairs.join(named(sets, "a"), F.col("a") == F.col("a_cls")).join(named(sets, "b"), F.col("b") == F.col("b_cls"))
     shared = F.size(F.array_intersect("a_elements", "b_elements"))
     linked = shared * den >= (F.size("a_elements") + F.size("b_elements") - shared) * num
@@ -218,20 +224,34 @@ def joined_up(comps: DataFrame | None, links: DataFrame) -> DataFrame | None:
 def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """Of (doc_id, text): (doc_id, n_shingles, component_id); documents link when den * |A and B| >= num * |A or B|."""
     with scratch(docs.sparkSession):
-        return keep(_link_components(docs, width, num, den), "components", lasting=1)
+        known = text_groups(docs, width, num, den)
+        least = known.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+        out = known.join(least, "comp", "left")
+        return keep(out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "components", lasting=1)
 
 
-def _link_components(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def text_groups(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Of (doc_id, text): (doc_id, tid, n, cls, comp): the text's hash, the size and class of its set and a name of its component; no class and component without a set."""
+    with scratch(docs.sparkSession):
+        return keep(_text_groups(docs, width, num, den), "groups", lasting=1)
+
+
+def salts(many: str) -> Column:
+    return F.expr(f"cast(({many} + {HOT - 1}) div {HOT} as long)")
+
+
+def _text_groups(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     docs = ensure(docs, doc_id="long", text="string").withColumn("tid", text_id(F.col("text")))
     with scratch(docs.sparkSession):  # keys take room: what holds them goes as soon as it has been used
         with scratch(docs.sparkSession):
             all_ = keep(signatures(docs, width, num, den), "signed")
-            wide = all_.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("tid", "n", *LANES, "long_", "keys")))
+            wide = all_.where("n > 0").groupBy("cls").agg(*(F.first(c).alias(c) for c in ("tid", "n", *LANES, "long_", "keys")))
             wide = keep(wide, "classes", lasting=1)
-            signed = keep(all_.select("doc_id", "n", "cls"), "signed", lasting=2)
-        by_key = Window.partitionBy("key").orderBy(F.xxhash64("key", "cls"), "cls")
-        members = wide.select("cls", F.explode("keys").alias("key")).select("key", "cls", F.first("cls").over(by_key).alias("leader"), F.lag("cls").over(by_key).alias("one"), F.lead("cls").over(by_key).alias("other"))
-        members = keep(members.where("one is not null or other is not null").select("key", "cls", "leader"), "members", lasting=1)
+            signed = keep(all_.select("doc_id", "tid", "n", "cls"), "signed", lasting=2)
+        held = wide.select("cls", F.explode("keys").alias("key"))
+        shared = keep(held.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.min_by("cls", F.xxhash64("key", "cls")).alias("leader")).where("many > 1"), "shared")
+        marked, hit = maybe_in(held, "key", shared)
+        members = keep(marked.where(hit).select("key", "cls").join(shared, "key"), "members", lasting=1)
         classes = keep(wide.drop("keys"), "classes", lasting=1)
     sketches = classes.select("cls", "n", *LANES)
     comps = None
@@ -240,45 +260,52 @@ def _link_components(docs: DataFrame, width: int, num: int, den: int) -> DataFra
         return pairs.join(named(sketches, "a"), F.col("a") == F.col("a_cls")).join(named(sketches, "b"), F.col("b") == F.col("b_cls")).where(close_enough(num, den))
 
     def with_comps() -> DataFrame:
-        out = members.select("key", "cls")
-        return out.withColumn("comp", F.col("cls")) if comps is None else out.join(comps, F.col("cls") == F.col("v"), "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp"))
+        out = members.select("key", "cls", "many")
+        return out.withColumn("comp", F.col("cls")) if comps is None else out.join(comps, F.col("cls") == F.col("v"), "left").select("key", "cls", "many", F.coalesce("comp", "cls").alias("comp"))
 
     for round_ in range(ROUNDS):
         if comps is None:
             pairs = members.where("cls <> leader").select(F.col("cls").alias("a"), F.col("leader").alias("b"))
-        else:
-            order = Window.partitionBy("key").orderBy(F.xxhash64("cls", "key", F.lit(round_)), "cls")
-            led = with_comps().select("cls", "comp", F.first("cls").over(order).alias("b"), F.first("comp").over(order).alias("b_comp"))
-            pairs = led.where("comp <> b_comp").select(F.col("cls").alias("a"), "b")
+        else:  # another leader for each key whose members are still apart
+            now = keep(with_comps(), "now")
+            order = F.xxhash64("cls", "key", F.lit(round_))
+            led = now.groupBy("key").agg(F.max("many").alias("many"), F.min_by("cls", order).alias("b"), F.min_by("comp", order).alias("b_comp"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+            led = led.select("key", "b", "b_comp", F.explode(F.sequence(F.lit(1), salts("many"))).alias("salt"))
+            pairs = now.withColumn("salt", F.pmod(F.xxhash64("cls"), salts("many")) + 1).join(led, ["key", "salt"]).where("comp <> b_comp").select(F.col("cls").alias("a"), "b")
         near = sketched(pairs.distinct())
         apart = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in LANES))
         best = near.select("a", "b", F.row_number().over(Window.partitionBy("a").orderBy(apart, "b")).alias("rank")).where(F.col("rank") <= BEST)
         comps = joined_up(comps, verified(best.select("a", "b"), classes, docs, width, num, den))
-    # what is left: classes that share a key and aren't joined
-    open_ = keep(with_comps(), "open")
-    mixed_keys = open_.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    open_ = keep(open_.join(mixed_keys, "key").join(sketches, "cls"), "open")
-    a, b = named(open_, "a"), named(open_, "b")
-    rest = a.join(b, (F.col("a_key") == F.col("b_key")) & (F.col("a_comp") < F.col("b_comp")) & close_enough(num, den)).select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct()
+    # what is left: classes that share a key and aren't joined; those of a large key meet block by block
+    now = keep(with_comps().drop("many"), "open")
+    mixed_keys = now.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("many")).where("low <> high")
+    open_ = now.join(mixed_keys.select("key", F.expr(f"cast((many + {BLOCK - 1}) div {BLOCK} as long)").alias("blocks")), "key").join(sketches, "cls")
+    open_ = keep(open_.withColumn("block", F.pmod(F.xxhash64("cls", F.lit("block")), "blocks")), "open")
+    all_blocks = F.explode(F.expr("sequence(0L, blocks - 1)"))
+    a, b = (named(open_.withColumn("facing", all_blocks), side) for side in "ab")
+    meet = reduce(lambda x, y: x & y, (F.col(x) == F.col(y) for x, y in (("a_key", "b_key"), ("a_block", "b_facing"), ("a_facing", "b_block"))))
+    rest = a.join(b, meet & (F.col("a_comp") < F.col("b_comp")) & close_enough(num, den)).select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")).distinct()
     comps = joined_up(comps, verified(rest, classes, docs, width, num, den))
-    of_class = classes.select("cls", "least")
-    if comps is not None:
-        of_class = of_class.join(comps, F.col("cls") == F.col("v"), "left").select("cls", "least", F.coalesce("comp", "cls").alias("comp"))
-        lowest = of_class.groupBy("comp").agg(F.min("least").alias("component_id"))
-        of_class = of_class.join(lowest, "comp").select("cls", "component_id")
-    else:
-        of_class = of_class.select("cls", F.col("least").alias("component_id"))
-    out = signed.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(of_class, "cls", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = signed if comps is None else signed.join(comps, F.col("cls") == F.col("v"), "left")
+    return out.select("doc_id", "tid", "n", "cls", (F.coalesce("comp", "cls") if comps is not None else F.col("cls")).alias("comp"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """`docs`, all columns, without the documents whose component has a smaller doc_id. Rows of one doc_id stay or go together; a null doc_id stays."""
-    gone = keep(link_components(docs, width, num, den).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    marked, hit = maybe_in(packed(docs, "doc_id"), "doc_id", gone)
+    """`docs`, all columns, with one row of each component: that of the smallest doc_id (a null one comes last), the text of the smaller hash where the id is repeated, and one of rows that are alike in both. Rows without a set all stay."""
+    row_id = lambda doc_id, text: F.xxhash64(F.lit("row"), doc_id, text)
+    with scratch(docs.sparkSession):
+        known = text_groups(docs, width, num, den).where("n > 0")
+        best = known.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid")).alias("w"))
+        stays = best.select(row_id(F.col("w.doc_id"), F.col("w.tid")).alias("rid"), F.lit(True).alias("stays"))
+        fate = known.groupBy(row_id(F.col("doc_id"), F.col("tid")).alias("rid")).agg(F.count(F.lit(1)).alias("many")).join(stays, "rid", "left")
+        fate = keep(fate.where("stays is null or many > 1").select("rid", F.col("stays").isNotNull().alias("stays")), "fate", lasting=1)
+    marked = packed(docs, "doc_id", "text").select(row_id(F.col("doc_id").cast("long"), text_id(F.col("text").cast("string"))).alias("rid"), "g_row")
+    marked, hit = maybe_in(marked, "rid", fate)
     marked = marked.withColumn("f_hit", hit)
-    # most documents are surely kept and needn't be exchanged
-    return marked.where("not f_hit").select("g_row.*").unionByName(marked.where("f_hit").join(gone, "doc_id", "left_anti").select("g_row.*"))
+    # most rows surely stay and needn't be exchanged; of the others, repeated ones are told apart by nothing and the rest by a number
+    doubtful = marked.where("f_hit").select("rid", "g_row").join(fate, "rid", "left").where("stays is null or stays")
+    doubtful = doubtful.withColumn("alone", F.when(F.col("stays"), F.lit(-1)).otherwise(F.monotonically_increasing_id())).dropDuplicates(["rid", "alone"])
+    return marked.where("not f_hit").select("g_row.*").unionByName(doubtful.select("g_row.*"))
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
