@@ -1,14 +1,17 @@
 """Benchmark decontamination by a distributed positional inverted index, in DataFrame operations only.
 
-The index holds postings (term, document, position) of training text. Benchmark phrases look up their
-rarest terms, by counts over all documents. A list of positions less the term's offset in a phrase says
-where the phrase may begin; the lists of its terms, so adjusted, are intersected from the rarest on.
-Postings of the rarest terms carry the words around them, so that the longer lists of common terms are
-read at the places that are still open instead of being stored and exchanged.
-
-Defined cases: null and empty texts have no words and no hits; an item without words has no window;
-an item of fewer words than a window is one window; repeated rows each get the result of their text;
-empty tables give no rows, or no hits.
+The index stores postings (text, term, position) of training text for the terms that the benchmark is looked up
+by: of each window of ten words its rarest three, by counts over all documents, and of each item its rarest
+two. A posting's position less the term's place in an item says where the item would begin. These lists are
+intersected from the rarest on: the lists of the windows' rarest terms say which beginnings are open, the
+longer lists are read for those alone, and a window whose three terms stand is looked up whole in postings of
+all words of the texts that are left. Runs of words that stand as in the item are the exact matches. Proximity
+matches are texts that have an item's two rarest terms at most ten words apart.
+
+Defined cases: null and empty texts have no words and no hits; an item without words has no window; an item
+of fewer words than a window is one window; repeated rows each get the result of their text, and are looked up
+once; ties of counts go by the term; a very long text is many postings and never one row; other columns
+aren't read, and `uncontaminated` passes them through whatever their names; empty tables give no rows, or no hits.
 """
 
 from __future__ import annotations
@@ -19,7 +22,10 @@ from pyspark.sql import functions as F
 from .common import NOT_ALNUM, ensure, keep, maybe_in, packed, parted, scratch, table, word_count
 
 A_Z, A_Z_LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A side of so many rows at most is broadcast; beyond, joins shuffle.
+WIDTH = 10  # words of a window
+ANCHORS = 3  # rarest terms of a window whose lists are intersected
+NEAR = 10  # words that an item's two rarest terms stand apart at most
+#: A counted side of so many rows at most is broadcast; beyond, rows are spared by a bitmap and the join shuffles what passes.
 SMALL_ROWS = 200_000
 
 
@@ -32,113 +38,143 @@ def words_of(text: Column) -> Column:
     return parted(text, NOT_ALNUM)
 
 
-def small(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
-    """`df`, marked for broadcast if a count finds it small."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+def text_hash() -> Column:
+    return F.xxhash64("text", F.length("text")).alias("text_hash")
 
 
-def phrase_windows(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """Of (item_id, text): distinct windows (phrase, words, n) and their (phrase, item_id)."""
-    words = F.filter(words_of(lower_a_z(F.col("text"))), lambda w: w != "")
-    rows = items.select("item_id", words.alias("w")).where(F.size("w") > 0)
-    starts = F.explode(F.expr(f"sequence(1, greatest(1, size(w) - {width} + 1))"))
-    rows = rows.select("item_id", "w", starts.alias("i")).select("item_id", F.slice("w", F.col("i"), width).alias("words"))
-    rows = rows.select("item_id", F.sha2(F.concat_ws(" ", "words"), 256).alias("phrase"), "words")
-    phrases = rows.groupBy("phrase").agg(F.first("words").alias("words")).withColumn("n", F.size("words"))
-    return phrases, rows.select("phrase", "item_id").distinct()
+def having(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """`rows` joined with the kept table `wanted` by `key`."""
+    if wanted.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        return rows.join(F.broadcast(wanted), key)
+    marked, hit = maybe_in(rows, key, wanted)
+    return marked.where(hit).select(*rows.columns).join(wanted, key)
 
 
-def postings(docs: DataFrame, terms: DataFrame, around: int = 0) -> DataFrame:
-    """The index of (key..., text) `docs` for the lower-cased `terms` (term): one row per place, with the words from `around` before to `around` after it, and how many of those come before."""
-    keys = [c for c in docs.columns if c != "text"]
+def tokens(docs: DataFrame, term: bool = True) -> DataFrame:
+    """(other columns..., pos, word) of `docs` with text: a row for each word, or for no word in a text without any; words before others' case is folded in full, if they are to be terms."""
+    own = [c for c in docs.columns if c != "text"]
+    words = docs.select(*own, words_of(F.lower("text") if term else F.col("text")).alias("w"))
     # the outer form, as a plain one makes Spark part each text twice, to drop those without words first
-    places = docs.select(*keys, words_of(F.col("text")).alias("w")).select(*keys, "w", F.posexplode_outer("w").alias("pos", "raw"))
-    found = places.withColumn("term", F.lower("raw")).join(small(terms), "term")
-    context = [F.slice("w", F.greatest(F.lit(1), F.col("pos") + 1 - around), F.least(F.col("pos"), F.lit(around)) + 1 + around).alias("context"), F.least(F.col("pos"), F.lit(around)).alias("left")] if around else []
-    lead = (F.element_at("w", 1) == "").cast("int")  # the empty string before the first word has place -1
-    return found.select(*keys, "term", (F.col("pos") - lead).alias("pos"), *context)
+    places = words.select(*own, (F.element_at("w", 1) == "").cast("int").alias("lead"), F.posexplode_outer("w").alias("at", "word"))
+    return places.select(*own, (F.col("at") - F.col("lead")).alias("pos"), "word")  # an empty string before the first word has place -1
+
+
+def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """The index of (text_hash, text) `docs` for the kept `terms` (term): (text_hash, term, pos)."""
+    return having(tokens(docs).withColumnRenamed("word", "term"), terms, "term").select("text_hash", "term", "pos")
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, count) over all places of all documents; terms that no document has are absent."""
-    words = docs.select(F.explode_outer(words_of(F.col("text"))).alias("raw")).select(F.lower("raw").alias("term"))
-    return words.join(small(terms), "term").groupBy("term").count()
-
-
-def rarest_terms(phrases: DataFrame, counts: DataFrame, k: int = 1) -> DataFrame:
-    """(phrase, words, n, term, offset, rank): the k rarest places of each phrase whose terms all occur in training."""
-    places = phrases.select("phrase", "words", "n", F.posexplode("words").alias("offset", "word")).withColumn("term", F.lower("word"))
-    places = places.join(small(counts), "term")
-    by = Window.partitionBy("phrase")
-    places = places.withColumns({"known": F.count(F.lit(1)).over(by), "rank": F.row_number().over(by.orderBy("count", "term", "offset"))})
-    return places.where((F.col("known") == F.col("n")) & (F.col("rank") <= k)).select("phrase", "words", "n", "term", "offset", "rank")
-
-
-def phrase_matches(docs: DataFrame, phrases: DataFrame, counts: DataFrame, width: int) -> DataFrame:
-    """(key..., phrase, start, n): every place where a phrase's words stand consecutively."""
-    keys = [c for c in docs.columns if c != "text"]
-    anchors = keep(rarest_terms(phrases, counts), "anchors")
-    found = postings(docs, anchors.select("term").distinct(), around=width - 1).join(small(anchors), "term")
-    # the list of the rarest term, less its offset, is where a phrase may begin; the other terms must stand at their offsets
-    start = F.col("pos") - F.col("offset")
-    first = F.col("left") - F.col("offset") + 1
-    found = found.where((start >= 0) & (first >= 1)).withColumns({"start": start, "here": F.slice("context", first, F.col("n"))})
-    found = found.where((F.size("here") == F.col("n")) & (lower_a_z(F.concat_ws(" ", "here")) == F.concat_ws(" ", "words")))
-    return found.select(*keys, "phrase", "start", "n")
-
-
-def proximity_matches(docs: DataFrame, phrases: DataFrame, counts: DataFrame, within: int = 10) -> DataFrame:
-    """(key..., phrase, pos, gap): places where the two rarest different terms of a phrase stand at most `within` words apart, in either order."""
-    keys = [c for c in docs.columns if c != "text"]
-    pairs = rarest_terms(phrases.withColumn("words", F.array_distinct("words")).withColumn("n", F.size("words")), counts, 2)
-    pairs = keep(pairs.groupBy("phrase").pivot("rank", [1, 2]).agg(F.first("term")).where("`2` is not null").select("phrase", F.col("1").alias("term"), F.col("2").alias("other")), "pairs")
-    lists = keep(postings(docs, pairs.select("term").union(pairs.select("other")).distinct()), "postings")
+    return having(tokens(docs.select("text")).select(F.col("word").alias("term")), terms, "term").groupBy("term").count()
+
+
+def item_classes(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of (item_id, text): the different sequences of words (item, words, n), n words a window; their (item, item_id)."""
+    words = F.filter(words_of(lower_a_z(F.col("text"))), lambda w: w != "")
+    rows = items.select("item_id", words.alias("words")).where(F.size("words") > 0).withColumn("item", F.xxhash64("words"))
+    return rows.groupBy("item").agg(F.first("words").alias("words")), rows.select("item", "item_id").distinct()
+
+
+def anchors_of(places: DataFrame, width: int) -> DataFrame:
+    """Of known (item, length, at, term, count): (item, begin, need, at, term, lead): the `need` rarest places of each window whose terms all occur in training; `lead` marks the rarest."""
+    size = F.least(F.lit(width), "length")
+    begins = F.explode(F.sequence(F.greatest(F.lit(0), F.col("at") - size + 1), F.least(F.col("at"), F.col("length") - size)))
+    rows = places.select("item", "at", "term", "count", size.alias("size"), begins.alias("begin"))
+    by = Window.partitionBy("item", "begin")
+    rows = rows.withColumns({"known": F.count(F.lit(1)).over(by), "rank": F.row_number().over(by.orderBy("count", "term", "at"))})
+    rows = rows.where((F.col("known") == F.col("size")) & (F.col("rank") <= ANCHORS))
+    return rows.select("item", "begin", F.least(F.lit(ANCHORS), "size").alias("need"), "at", "term", (F.col("rank") == 1).alias("lead"))
+
+
+def rarest_pairs(places: DataFrame) -> DataFrame:
+    """Of known (item, ..., term, count): (item, term, other), its two rarest different terms."""
+    rows = places.select("item", "term", "count").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy("count", "term"))).where("rank <= 2")
+    return rows.groupBy("item").agg(F.max(F.expr("if(rank = 1, term, null)")).alias("term"), F.max(F.expr("if(rank = 2, term, null)")).alias("other")).where("other is not null")
+
+
+def phrase_matches(docs: DataFrame, index: DataFrame, classes: DataFrame, anchors: DataFrame, width: int) -> DataFrame:
+    """(text_hash, item, start, end): every run of at least a window's words that stand in a text as in the item."""
+    line = ["text_hash", "item", "shift"]
+    shift = (F.col("pos") - F.col("at")).alias("shift")
+    leads = keep(anchors.where("lead").select("term", "item", "at").distinct(), "leads")
+    open_ = keep(having(index, leads, "term").select("text_hash", "item", shift).distinct().withColumn("line", F.xxhash64(*line)), "open")
+    others = keep(anchors.select("term", "item", "at").distinct(), "anchors")
+    lists, hit = maybe_in(having(index, others, "term").select("text_hash", "item", shift, "at").withColumn("line", F.xxhash64(*line)), "line", open_)
+    stand = keep(lists.where(hit).select(*line, "at").distinct(), "stand")
+    windows = stand.join(anchors.select("item", "at", "begin", "need"), ["item", "at"]).groupBy(*line, "begin", "need").agg(F.count(F.lit(1)).alias("n")).where("n = need")
+    # whole windows: each word of theirs against the words of the texts that are left
+    sized = classes.select("item", "words", F.least(F.lit(width), F.size("words")).alias("size"))
+    asked = windows.select(*line, "begin").join(sized.select("item", "size"), "item").select(*line, "size", F.explode(F.expr("sequence(begin, begin + size - 1)")).alias("at")).distinct()
+    asked = keep(asked.join(classes.select("item", F.posexplode("words").alias("at", "word")), ["item", "at"]).withColumn("pos", F.col("shift") + F.col("at")), "asked")
+    left = keep(asked.select("text_hash").distinct(), "left")
+    texts, some = maybe_in(docs, "text_hash", left)
+    there = tokens(texts.where(some).select("text_hash", "text"), term=False).select("text_hash", "pos", lower_a_z(F.col("word")).alias("word")).distinct()
+    found = asked.join(there, ["text_hash", "pos", "word"])
+    by = Window.partitionBy(*line).orderBy("at")
+    runs = found.select(*line, "size", "pos", (F.col("at") - F.row_number().over(by)).alias("run")).groupBy(*line, "size", "run").agg(F.min("pos").alias("start"), (F.max("pos") + 1).alias("end"))
+    return runs.where("end - start >= size").select("text_hash", "item", "start", "end")
+
+
+def proximity_matches(index: DataFrame, pairs: DataFrame, within: int = NEAR) -> DataFrame:
+    """(text_hash, item): texts where the two terms of (item, term, other) stand at most `within` words apart, in either order."""
     # places are cut into cells of `within` words; a neighbour stands in the same cell or the next one to either side
-    near = lists.select(*keys, F.col("term").alias("other"), F.col("pos").alias("at"), F.explode(F.expr(f"array(pos div {within} - 1, pos div {within}, pos div {within} + 1)")).alias("cell"))
-    found = lists.join(small(pairs), "term").withColumn("cell", F.expr(f"pos div {within}")).join(near, [*keys, "other", "cell"])
-    return found.select(*keys, "phrase", "pos", (F.col("at") - F.col("pos")).alias("gap")).where(F.abs("gap") <= within)
+    ones = having(index, pairs, "term").select("text_hash", "item", "pos", F.expr(f"pos div {within}").alias("cell")).distinct()
+    others = having(index, keep(pairs.select("item", F.col("other").alias("term")), "others"), "term")
+    others = others.select("text_hash", "item", F.col("pos").alias("at"), F.explode(F.expr(f"array(pos div {within} - 1, pos div {within}, pos div {within} + 1)")).alias("cell")).distinct()
+    return ones.join(others, ["text_hash", "item", "cell"]).where(F.abs(F.col("pos") - F.col("at")) <= within).select("text_hash", "item").distinct()
 
 
-def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
-    """Of (doc_id, text) and (item_id, text): (doc_id, text_hash, n_hit, n_items, items), one row for each different document that is hit."""
+def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, near: bool = True) -> DataFrame:
+    """Of (doc_id, text) and (item_id, text): (text_hash, n_hit, n_items, items, n_near), one row for each different text with an exact or a proximity match."""
     with scratch(docs.sparkSession):
-        return keep(_contamination(docs, items, width), "contamination", lasting=1)
+        return keep(_contamination(docs, items, width, near), "contamination", lasting=1)
 
 
-def _contamination(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    docs = docs.select("doc_id", F.xxhash64("text", F.length("text")).alias("text_hash"), "text")
-    phrases, owners = phrase_windows(items, width)
-    phrases, owners = keep(phrases, "phrases"), keep(owners, "owners")
-    terms = keep(phrases.select(F.explode("words").alias("word")).select(F.lower("word").alias("term")).distinct(), "terms")
+def _contamination(docs: DataFrame, items: DataFrame, width: int, near: bool) -> DataFrame:
+    docs = docs.select(text_hash(), "text")
+    classes, owners = item_classes(items)
+    classes, owners = keep(classes, "classes"), keep(owners, "owners")
+    places = classes.select("item", F.size("words").alias("length"), F.posexplode("words").alias("at", "word")).withColumn("term", F.lower("word"))
+    terms = keep(places.select("term").distinct(), "terms")
     counts = keep(term_counts(docs, terms), "term-counts")
-    hits = keep(phrase_matches(docs, phrases, counts, width).distinct(), "hits")
-    key = ["doc_id", "text_hash"]
-    spans = hits.select(*key, "start", (F.col("start") + F.col("n")).alias("end")).distinct()
-    done = F.max("end").over(Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1))
-    covered = spans.withColumn("new", F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce(done, F.lit(0))))).groupBy(*key).agg(F.sum("new").alias("n_hit"))
-    named = hits.select(*key, "phrase").distinct().join(owners, "phrase").groupBy(*key).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    own = [F.col(f"n.{c}").eqNullSafe(F.col(f"c.{c}")) for c in key]
-    return covered.alias("c").join(named.alias("n"), own[0] & own[1]).select("c.doc_id", "c.text_hash", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
-
-
-def uncontaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
+    places = places.join(counts, "term")
+    anchors, pairs = keep(anchors_of(places, width), "anchors"), keep(rarest_pairs(places), "pairs")
+    wanted = anchors.select("term")
+    if near:
+        wanted = wanted.union(pairs.select("term")).union(pairs.select("other"))
+    index = keep(postings(docs, keep(wanted.distinct(), "wanted")), "postings")
+    hits = keep(phrase_matches(docs, index, classes, anchors, width), "hits")
+    done = F.max("end").over(Window.partitionBy("text_hash").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1))
+    spans = hits.select("text_hash", "start", "end").distinct()
+    covered = spans.withColumn("new", F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce(done, F.lit(0))))).groupBy("text_hash").agg(F.sum("new").alias("n_hit"))
+    named = hits.select("text_hash", "item").distinct().join(owners, "item").groupBy("text_hash").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    out = covered.join(named, "text_hash").select("text_hash", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
+    if not near:
+        return out.withColumn("n_near", F.lit(0).cast("long"))
+    close = proximity_matches(index, pairs).join(owners, "item").groupBy("text_hash").agg(F.count(F.lit(1)).alias("n_near"))
+    return out.join(close, "text_hash", "full")
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """`docs`, all columns, without the texts that hold a benchmark window. Only texts that may be hit are exchanged."""
-    hit = keep(contamination(ensure(docs, doc_id="long", text="string"), ensure(items, item_id="string", text="string"), width).select("text_hash").distinct(), "hit")
-    marked, bit = maybe_in(packed(docs, "text").withColumn("text_hash", F.xxhash64("text", F.length("text"))).drop("text"), "text_hash", hit)
+    with scratch(docs.sparkSession):
+        hit = keep(contamination(ensure(docs, doc_id="long", text="string"), ensure(items, item_id="string", text="string"), width, near=False).select("text_hash"), "hit", lasting=1)
+    marked, bit = maybe_in(packed(docs, "text").withColumn("text_hash", text_hash()).drop("text"), "text_hash", hit)
     marked = marked.withColumn("f_hit", bit)
     return marked.where("not f_hit").select("g_row.*").unionByName(marked.where("f_hit").join(hit, "text_hash", "left_anti").select("g_row.*"))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words of each document lie in windows of ten words that benchmark items have too."""
+    """How many words of each document lie in windows of ten words that benchmark items have too, and near how many items' rarest terms stand together."""
     docs = ensure(table(spark, sf_dir, "documents"), doc_id="long", text="string")
     items = ensure(table(spark, sf_dir, "benchmark"), item_id="string", text="string")
-    hit = contamination(docs, items).withColumnRenamed("doc_id", "hit_id").withColumnRenamed("text_hash", "hit_hash")
-    own = docs.select("doc_id", F.xxhash64("text", F.length("text")).alias("text_hash"), word_count(F.col("text"), NOT_ALNUM).alias("n_words"))
-    out = own.join(hit, own.doc_id.eqNullSafe(hit.hit_id) & (own.text_hash == hit.hit_hash), "left")
+    hit = contamination(docs, items)
+    own = docs.select("doc_id", text_hash(), word_count(F.col("text"), NOT_ALNUM).alias("n_words"))
+    out = own.join(hit, "text_hash", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items_list = F.coalesce(F.array_join("items", ","), F.lit(""))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.sha2(items_list, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.sha2(items_list, 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
 
 
 ORACLE_SQL = {
@@ -150,8 +186,14 @@ lens as (select distinct len(ws) as n from win),
 docwin as (select doc_id, i, n, list_slice(w, i, i + n - 1) as ws from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, lens where len(w) >= n)),
 hits as (select distinct doc_id, i, n, item_id from docwin join win using (ws)),
 cov as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
-its as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as items from (select distinct doc_id, item_id from hits) group by doc_id)
-select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from d left join cov using (doc_id) left join its using (doc_id)
+its as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as items from (select distinct doc_id, item_id from hits) group by doc_id),
+tok as (select doc_id, generate_subscripts(w, 1) as pos, lower(unnest(w)) as term from d),
+cnt as (select term, count(*) as n from tok group by term),
+terms as (select distinct item_id, lower(term) as term from (select item_id, unnest(w) as term from b)),
+rare as (select item_id, term, row_number() over (partition by item_id order by n, term) as k from terms join cnt using (term)),
+near as (select distinct x.doc_id, r.item_id from rare r join rare q on r.item_id = q.item_id and r.k = 1 and q.k = 2 join tok x on x.term = r.term join tok y on y.doc_id = x.doc_id and y.term = q.term and abs(x.pos - y.pos) <= 10),
+close as (select doc_id, count(*) as n_near from near group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, coalesce(n_near, 0)::bigint as n_near
+from d left join cov using (doc_id) left join its using (doc_id) left join close using (doc_id)
 """,
 }
