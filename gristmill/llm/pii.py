@@ -1,41 +1,54 @@
 """Personal data: fixed shapes first, then bootstrapped contextual extraction.
 
-Spans of the four base shapes are seeds. Each seed, and each other token with a digit in it, is an instance
-that stands in patterns: the two words before it, and the word before with the word after. Spark scores the
-pattern-instance graph: a pattern's confidence for a kind is the share of its different instances that are
-known to be of it, an instance's score joins the confidences of its patterns, and rounds of both discover
-instances that no base shape fits. They become spans of kinds named like "near_phone".
+Spans of the four base shapes, and values assigned to words like "token" or "password", are seeds. Each is an
+instance that stands in patterns: the two words before it, and the word before with the word after, whole
+words without quotes and brackets. Spark scores the pattern-instance graph: a pattern's confidence for a kind
+is the share of its different instances that are known to be of it, and an instance's score joins the
+confidences of its patterns. Any word of any text that stands in a pattern with enough known instances is a
+candidate, and an instance that is discovered makes its other patterns candidates in the next round; rounds go
+on until nothing is new. Discovered instances become spans of kinds named like "near_phone", wherever they stand.
 
 Defined cases: null and empty texts have no spans; spans of different kinds may overlap, those of a kind
-don't; repeated rows get equal results; ties are ordered by start, then kind; empty tables give no rows.
+don't; repeated rows get equal results and teach once, as only different instances count; ties are ordered
+by start, then kind; empty tables give no rows; very long texts are read whole, in time in proportion to
+their length; other columns aren't read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ensure, keep, map_batches, table
+from .common import ensure, keep, map_batches, scratch, table
 
-#: Kinds in order, and their shapes.
+#: Base kinds in order, and their shapes.
 KINDS = ("email", "ip", "card", "phone")
 EMAIL_TAIL = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 EMAIL_HEAD = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # a match can only begin where its digits do
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-TOKEN = re.compile(r"[^\s\"'<>(),;]*[0-9][^\s\"'<>(),;]*")
+#: Words that a secret is assigned to, and the shape of such an assignment.
+SECRET_WORDS = ("token", "password", "passwd", "secret", "apikey", "api_key", "api-key", "access_key", "private_key", "auth_token")
+SECRET_WORD = re.compile("|".join(SECRET_WORDS), re.IGNORECASE)
+SECRET = re.compile(r"[\"']?\x20?[=:]\x20?[\"']?([^\s\"'<>(),;=:]{12,})")
+ALL_KINDS = (*KINDS, "secret")
+WORD = re.compile(r"[^\s\"'<>()\[\]{},;=:]+|[=:]")
 
-ROUNDS = 3
 LEAST_KNOWN = 3  # different known instances a pattern needs
 CONFIDENT = 0.6  # the share of a pattern's instances that must be known, after smoothing
 ACCEPT = 0.6  # an instance's score
-LEAST_LENGTH = 5  # of a token that may be an instance
+LEAST_LENGTH = 5  # of a word that may be an instance
+WORDS_KEPT = 200_000  # word hashes that a task keeps
+FILTER_BITS = 24  # a power of two: bits of the filters that go to the tasks, 2 MB each
 
 NONDIGIT = re.compile(r"[^0-9]")
 
@@ -77,93 +90,209 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
-    """(start, end, kind or -1, value, patterns) of base spans and of other tokens with a digit."""
-    found = [(b, e, k) for b, k, e in base]
-    if DIGIT.search(text):
-        taken = sorted((b, e) for b, _, e in base)
-        j, done = 0, 0
-        for m in TOKEN.finditer(text):
-            while j < len(taken) and taken[j][0] < m.end():
-                done = max(done, taken[j][1])
-                j += 1
-            end = m.end() - (text[m.end() - 1] in ".:!?")
-            if done <= m.start() and end - m.start() >= LEAST_LENGTH:
-                found.append((m.start(), end, -1))
+def secrets(text: str) -> list[tuple[int, int]]:
+    """Values with a digit that are assigned to a word for secrets."""
+    out, free = [], 0
+    for m in SECRET_WORD.finditer(text):
+        if m.start() >= free and (value := SECRET.match(text, m.end())) and DIGIT.search(value[1]):
+            out.append((value.start(1), value.end(1)))
+            free = value.end(1)
+    return out
+
+
+def pattern_hash(side: int, a, b):
+    """One number of two words' hashes and of which side they stand on; words are numbers or arrays of them."""
+    with np.errstate(over="ignore"):
+        x = (np.uint64(a) if np.isscalar(a) else a) * np.uint64(0x9E3779B97F4A7C15) + (np.uint64(b) if np.isscalar(b) else b) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(side)
+        x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(29))
+
+
+class WordHashes(dict):
+    """Hashes of words in lower case and without points behind them, forgotten when there are too many."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        self[word] = out = xxhash.xxh3_64_intdigest(word.lower().rstrip(".!?"))
+        return out
+
+
+def patterns_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word: the pattern of the two words before it, and of the word before and the one after; 0 where they lack."""
+    before, around = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+    if len(words) > 2:
+        before[2:] = pattern_hash(1, words[:-2], words[1:-1])
+        around[1:-1] = pattern_hash(2, words[:-2], words[2:])
+    return before, around
+
+
+def seed_instances(text: str, spans: list[tuple[int, int, int]], hashes: WordHashes) -> list[tuple[int, int, int]]:
+    """(pattern, instance, kind) of (start, kind, end) spans."""
+    words = [(m.start(), m.end(), m[0]) for m in WORD.finditer(text)]
+    begins, ends = [w[0] for w in words], [w[1] for w in words]
     out = []
-    for b, e, k in found:
-        before = text[max(0, b - 80) : b].lower().split()[-2:]
-        after = text[e : e + 40].lower().split()[:1]
-        patterns = []
-        if len(before) == 2:
-            patterns.append(" ".join((*before, "_")))
-        if before and after:
-            patterns.append(" ".join((before[-1], "_", *after)))
-        if patterns:
-            out.append((b, e, k, text[b:e], patterns))
+    for b, k, e in spans:
+        i = bisect_left(ends, b + 1)  # the first word that reaches into the span
+        j = bisect_left(begins, e)  # the first one behind it
+        instance = hashes[text[b:e]]
+        if i >= 2:
+            out.append((int(pattern_hash(1, hashes[words[i - 2][2]], hashes[words[i - 1][2]])), instance, k))
+        if i >= 1 and j < len(words):
+            out.append((int(pattern_hash(2, hashes[words[i - 1][2]], hashes[words[j][2]])), instance, k))
     return out
 
 
-FOUND = "array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>"
-SCHEMA = f"doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<start:int,kind:int,end:int>>, found {FOUND}"
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+EDGES = "array<struct<pattern:long,instance:long,kind:int>>"
+SCHEMA = f"doc_id long, text_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base {SPANS}, seeds {EDGES}"
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """Of (doc_id, text): counts, the digest and spans of the base kinds, and the instances for the graph."""
-    base_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    found_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()), ("value", pa.string()), ("patterns", pa.list_(pa.string()))]))
+    """Of (doc_id, text_id, text): counts, the digest and spans of the base kinds and the assigned secrets, and the seeds' part of the graph."""
+    span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
+    edge = pa.list_(pa.struct([("pattern", pa.int64()), ("instance", pa.int64()), ("kind", pa.int32())]))
 
     def make():
+        hashes = WordHashes()
+
         def one(text: str | None) -> tuple:
             text = text or ""
             base = base_spans(text)
             counts = [sum(k == n for _, k, _ in base) for n in range(len(KINDS))]
             digest = hashlib.sha256(",".join(f"{KINDS[k]}:{b}:{e}" for b, k, e in base).encode()).hexdigest()
-            found = [{"start": b, "end": e, "kind": k, "value": v, "patterns": p} for b, e, k, v, p in instances(text, base)]
-            return (*counts, digest, [{"start": b, "kind": k, "end": e} for b, k, e in base], found)
+            all_ = sorted(base + [(b, len(KINDS), e) for b, e in secrets(text)])
+            seeds = seed_instances(text, all_, hashes) if all_ else []
+            return (*counts, digest, [{"start": b, "kind": k, "end": e} for b, k, e in all_], [{"pattern": signed(p), "instance": signed(i), "kind": k} for p, i, k in seeds])
 
-        kinds = [pa.int64()] * 4 + [pa.string(), base_type, found_type]
+        kinds = [pa.int64()] * 4 + [pa.string(), span, edge]
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             cols = zip(*(one(x.as_py()) for x in batch.column("text")), strict=True)
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "found"])
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["doc_id", "text_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "seeds"])
 
         return step
 
-    return map_batches(ensure(docs, doc_id="long", text="string"), SCHEMA, make)
-
-
-def score_graph(edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Of distinct (pattern, instance, kind; -1: unknown): (pattern, kind, confidence) and (instance, kind, score) of what is discovered."""
-    sizes = edges.select("pattern", "instance").distinct().groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    seeds = edges.where("kind >= 0").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
-    open_ = edges.where("kind < 0").select("pattern", "instance").distinct()
-    # only patterns of which enough instances may become known take part
-    known, patterns, found = seeds, None, None
-    for _ in range(rounds):
-        sums = edges.select("pattern", "instance").distinct().join(known, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("known"))
-        patterns = sums.where(F.col("known") >= LEAST_KNOWN).join(sizes, "pattern").withColumn("confidence", F.col("known") / (F.col("n") + 1))
-        patterns = keep(patterns.where(F.col("confidence") >= CONFIDENT).select("pattern", "kind", "confidence"), "patterns")
-        joined = open_.join(patterns, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.99)))))).alias("score"))
-        found = keep(joined.where(F.col("score") >= ACCEPT), "instances")
+    return map_batches(docs.select("doc_id", "text_id", "text"), SCHEMA, make)
+
+
+def bitmap(keys: DataFrame) -> bytes:
+    """A filter of `keys` (key), of the same 2 MB whatever their number; beyond some hundred thousand more words pass in vain."""
+    spots = keys.select((F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1).alias("spot"))  # from 1 on, as buckets are
+    parts = spots.groupBy(F.expr("bitmap_bucket_number(spot)").alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(spot))").alias("bits"))
+    out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    for part, bits in parts.collect():  # 512 rows at most
+        out[(part - 1) * len(bits) : part * len(bits)] = np.frombuffer(bits, np.uint8)
+    return out.tobytes()
+
+
+def find_candidates(docs: DataFrame, patterns: bytes, instances: bytes) -> DataFrame:
+    """Of (text_id, text): (text_id, start, end, instance, pattern) of words that may stand in one of the patterns or be one of the instances; pattern 0 has no context."""
+
+    def make():
+        hashes = WordHashes()
+        maps = [np.frombuffer(x, np.uint8) for x in (patterns, instances)]
+
+        def hit(which: int, keys: np.ndarray) -> np.ndarray:
+            spot = keys & np.uint64(len(maps[which]) * 8 - 1)
+            return (maps[which][(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = []
+            for text_id, text in zip(batch.column("text_id").to_pylist(), batch.column("text"), strict=True):
+                text = text.as_py() or ""
+                words = WORD.findall(text)
+                if not words:
+                    continue
+                h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+                before, around = patterns_of(h)
+                contexts = [(x, hit(0, x) & (x != 0)) for x in (before, around)]
+                known = hit(1, h)
+                found = np.flatnonzero(contexts[0][1] | contexts[1][1] | known)
+                if not len(found):
+                    continue
+                places = [(m.start(), m.end()) for m in WORD.finditer(text)]
+                taken, j, until = sorted([(b, e) for b, _, e in base_spans(text)] + secrets(text)), 0, 0
+                for i in found.tolist():
+                    b, e = places[i]
+                    value = text[b:e].rstrip(".!?")
+                    while j < len(taken) and taken[j][0] < b + len(value):
+                        until, j = max(until, taken[j][1]), j + 1
+                    if len(value) >= LEAST_LENGTH and until <= b:
+                        named = [signed(int(x[i])) for x, ok in contexts if ok[i] or known[i]]
+                        rows += [(text_id, b, b + len(value), signed(int(h[i])), p) for p in named]  # 0 is no pattern
+            columns = zip(*rows, strict=True) if rows else [[]] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["text_id", "start", "end", "instance", "pattern"])
+
+        return step
+
+    return map_batches(docs, "text_id long, start int, end int, instance long, pattern long", make)
+
+
+def likely_patterns(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """(pattern, kind, sure) with at least LEAST_KNOWN different known instances; sure: the sum of their scores."""
+    sums = edges.select("pattern", "instance").distinct().join(known, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("sure"), F.count(F.lit(1)).alias("n"))
+    return sums.where(F.col("n") >= LEAST_KNOWN).select("pattern", "kind", "sure")
+
+
+def score_graph(edges: DataFrame, seeds: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round on distinct (pattern, instance) edges and (instance, kind, score) of seeds and of all that is known: (pattern, kind, confidence) and the (instance, kind, score) that isn't a seed."""
+    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    patterns = likely_patterns(edges, known).join(sizes, "pattern").withColumn("confidence", F.col("sure") / (F.col("n") + 1))
+    patterns = keep(patterns.where(F.col("confidence") >= CONFIDENT).select("pattern", "kind", "confidence"), "patterns")
+    joined = edges.join(patterns, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.99)))))).alias("score"))
+    return patterns, keep(joined.where(F.col("score") >= ACCEPT).join(seeds.select("instance").distinct(), "instance", "left_anti"), "instances")
+
+
+def discover(docs: DataFrame, edges: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """Of (text_id, text) and the seeds' distinct (pattern, instance, kind): the (instance, kind, score) that is discovered, and all candidates' places; None where no pattern has enough seeds."""
+    seeds = keep(edges.select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds")
+    known, found, places = seeds, None, None
+    graph = keep(edges.select("pattern", "instance").distinct(), "graph")
+    before = (-1, -1)
+    while True:
+        # what may be seen in this round: patterns with enough known instances, and what has been discovered
+        likely = keep(likely_patterns(graph, known).select(F.col("pattern").alias("key")).distinct(), "likely")
+        new = keep((found if found is not None else seeds.limit(0)).select(F.col("instance").alias("key")).distinct(), "discovered")
+        now = (likely.count(), new.count())
+        if now == before or not any(now):
+            return found, places
+        before = now
+        places = keep(find_candidates(docs, bitmap(likely), bitmap(new)), "places")
+        seen = places.where("pattern <> 0").select("pattern", "instance")
+        graph = keep(seen.union(edges.select("pattern", "instance")).distinct(), "graph")
+        _, more = score_graph(graph, seeds, known)
+        found = more if found is None else keep(found.unionByName(more).groupBy("instance", "kind").agg(F.max("score").alias("score")), "instances")  # what is known stays known, so this ends
         known = seeds.unionByName(found)
-        if found.isEmpty():
-            break
-    return patterns, found
-
-
-def extract_pii(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Of (doc_id, text): base counts and digest, and all spans as "kind:start:end", by start and kind."""
-    rows = keep(find_base(docs).withColumn("row", F.monotonically_increasing_id()), "pii")
-    seen = rows.select("row", F.explode("found").alias("x")).select("row", "x.start", "x.end", "x.kind", F.xxhash64("x.value").alias("instance"), F.explode("x.patterns").alias("p")).withColumn("pattern", F.xxhash64("p")).drop("p")
-    _, found = score_graph(keep(seen.select("pattern", "instance", "kind").distinct(), "pii-graph"), rounds)
-    new = seen.where("kind < 0").select("row", "start", "end", "instance").distinct().join(found, "instance")
-    new = new.groupBy("row").agg(F.collect_list(F.struct("start", (F.col("kind") + len(KINDS)).alias("kind"), "end")).alias("more"))  # of one document
-    out = rows.join(new, "row", "left")
-    names = F.array(*(F.lit(k) for k in (*KINDS, *(f"near_{k}" for k in KINDS))))
-    spans = F.array_sort(F.concat("base", F.coalesce("more", F.expr("cast(array() as array<struct<start:int,kind:int,end:int>>)"))))
-    text = F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
-    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.array_join(text, ",").alias("spans"))
+
+
+def extract_pii(docs: DataFrame) -> DataFrame:
+    """Of (doc_id, text): base counts and digest, all spans as "kind:start:end" by start and kind, and how many these are."""
+    with scratch(docs.sparkSession):
+        return keep(_extract_pii(docs), "pii", lasting=1)
+
+
+def _extract_pii(docs: DataFrame) -> DataFrame:
+    docs = ensure(docs, doc_id="long", text="string").withColumn("text_id", F.xxhash64("text", F.length("text")))
+    rows = keep(find_base(docs), "base")
+    edges = keep(rows.select(F.explode("seeds").alias("x")).select("x.*").distinct(), "edges")
+    found, places = discover(docs.select("text_id", "text"), edges)
+    out = rows.drop("seeds")
+    if found is None:
+        out = out.withColumn("more", F.lit(None).cast(SPANS))
+    else:
+        kinds = found.groupBy("instance").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
+        new = places.select("text_id", "start", "end", "instance").distinct().join(kinds, "instance")
+        new = new.groupBy("text_id").agg(F.collect_list(F.struct("start", (F.col("kind") + len(ALL_KINDS)).alias("kind"), "end")).alias("more"))  # of one text
+        out = out.join(new, "text_id", "left")
+    names = F.lit([*ALL_KINDS, *(f"near_{k}" for k in ALL_KINDS)])
+    spans = F.array_sort(F.concat("base", F.coalesce("more", F.expr(f"cast(array() as {SPANS})"))))
+    text = F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.array_join(text, ",").alias("spans"), F.size(spans).cast("long").alias("n_spans"), F.coalesce(F.size("more"), F.lit(0)).cast("long").alias("n_discovered"))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
