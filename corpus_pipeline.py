@@ -2,6 +2,11 @@
 
 Documents that are toxic, near copies of others, or hold benchmark passages go; what is left is mixed to
 the sources' target weights and dealt to shards. The last stage's rows are the documents with their places.
+
+Defined cases: documents without text pass the first three stages and are in no mix; rows that are alike in id and
+text are one document to the second stage; a null source is a source; columns beyond the table's own pass
+through, and the last stage keeps one called size, shard or slot as own_size, own_shard or own_slot; empty tables
+give no rows at every stage; texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gristmill.llm import decontaminate, mixing, ngram_join, sharding, toxicity
-from gristmill.llm.common import keep, table
+from gristmill.llm.common import discard, keep, scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group linked at 80% of five-word shingles."""
+    """One row, that of the smallest id, of each group linked at 80% of five-word shingles."""
     return ngram_join.one_of_each(docs)
 
 
@@ -47,12 +52,18 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", deal_shards),
 ]
 
-#: The first stage is learned, so SQL can't express the whole; tests hold each stage against brute force.
+#: The first stage is learned, so SQL can't express the whole; tests/llm/test_pipeline_rows.py holds each stage against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; a stage's own tables go when it has been written, and its predecessor's table then too."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir), name)
+    with scratch(spark) as written:
+        for name, stage in STAGES[:-1]:
+            with scratch(spark):
+                docs = keep(stage(spark, docs, sf_dir), name, lasting=1)
+            discard(spark, written[:-1])
+            del written[:-1]
+        written.clear()  # what the last stage reads stays
     return STAGES[-1][1](spark, docs, sf_dir)
