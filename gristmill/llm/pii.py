@@ -6,7 +6,8 @@ words without quotes and brackets. Spark scores the pattern-instance graph: a pa
 is the share of its different instances that are known to be of it, and an instance's score joins the
 confidences of its patterns. Any word of any text that stands in a pattern with enough known instances is a
 candidate, and an instance that is discovered makes its other patterns candidates in the next round; rounds go
-on until nothing is new. Discovered instances become spans of kinds named like "near_phone", wherever they stand.
+on until nothing is new. A pattern with too many other instances can't become confident, so a task names no more
+of them than it takes to tell. Discovered instances become spans of kinds named like "near_phone", wherever they stand.
 
 Defined cases: null and empty texts have no spans; spans of different kinds may overlap, those of a kind
 don't; repeated rows get equal results and teach once, as only different instances count; ties are ordered
@@ -48,7 +49,8 @@ CONFIDENT = 0.6  # the share of a pattern's instances that must be known, after
 ACCEPT = 0.6  # an instance's score
 LEAST_LENGTH = 5  # of a word that may be an instance
 WORDS_KEPT = 200_000  # word hashes that a task keeps
-FILTER_BITS = 24  # a power of two: bits of the filters that go to the tasks, 2 MB each
+SLOT_BITS = 22  # of the filters that go to the tasks, 4 MB each
+SLOT = np.uint64((1 << SLOT_BITS) - 1)
 
 NONDIGIT = re.compile(r"[^0-9]")
 
@@ -180,57 +182,96 @@ def find_base(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("doc_id", "text_id", "text"), SCHEMA, make)
 
 
-def bitmap(keys: DataFrame) -> bytes:
-    """A filter of `keys` (key), of the same 2 MB whatever their number; beyond some hundred thousand more words pass in vain."""
-    spots = keys.select((F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1).alias("spot"))  # from 1 on, as buckets are
-    parts = spots.groupBy(F.expr("bitmap_bucket_number(spot)").alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(spot))").alias("bits"))
-    out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for part, bits in parts.collect():  # 512 rows at most
-        out[(part - 1) * len(bits) : part * len(bits)] = np.frombuffer(bits, np.uint8)
-    return out.tobytes()
+def slots_of(keys: DataFrame, value: str) -> np.ndarray:
+    """A filter of `keys` (key, ...) of the same 4 MB whatever their number: each slot has the greatest `value` (0 to 255) of the keys in it; beyond some hundred thousand more words pass in vain."""
+    parts = keys.select(F.col("key").bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int").alias("slot"), F.expr(value).cast("int").alias("value")).groupBy("slot").agg(F.max("value").alias("value"))
+    out = np.zeros(1 << SLOT_BITS, np.uint8)
+    for batch in parts.toArrow().to_batches():  # no more rows than the filter has slots
+        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return out
 
 
-def find_candidates(docs: DataFrame, patterns: bytes, instances: bytes) -> DataFrame:
-    """Of (text_id, text): (text_id, start, end, instance, pattern) of words that may stand in one of the patterns or be one of the instances; pattern 0 has no context."""
+def free_words(text: str, words: list[str], found: list[int]) -> list[tuple[int, int, int]]:
+    """(place among the words, start, end) of those found that are long enough and apart from the fixed shapes, without points behind them."""
+    found = [i for i in found if len(words[i].rstrip(".!?")) >= LEAST_LENGTH]
+    if not found:
+        return []
+    places = [m.start() for m in WORD.finditer(text)]
+    taken, j, until, out = sorted([(b, e) for b, _, e in base_spans(text)] + secrets(text)), 0, 0, []
+    for i in found:
+        b = places[i]
+        e = b + len(words[i].rstrip(".!?"))
+        while j < len(taken) and taken[j][0] < e:
+            until, j = max(until, taken[j][1]), j + 1
+        if until <= b:
+            out.append((i, b, e))
+    return out
 
-    def make():
-        hashes = WordHashes()
-        maps = [np.frombuffer(x, np.uint8) for x in (patterns, instances)]
 
-        def hit(which: int, keys: np.ndarray) -> np.ndarray:
-            spot = keys & np.uint64(len(maps[which]) * 8 - 1)
-            return (maps[which][(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+def find_edges(docs: DataFrame, limits: np.ndarray, instances: np.ndarray) -> DataFrame:
+    """Of (text): different (pattern, instance) of words that may stand in a likely pattern, and of words that may be one of the instances with all their patterns.
+
+    A slot of `limits` says, as a power of two, how many different instances leave its patterns any hope; a task tells one more than that, which is enough to reject a pattern.
+    """
+
+    def make():
+        hashes, seen = WordHashes(), {}
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = []
-            for text_id, text in zip(batch.column("text_id").to_pylist(), batch.column("text"), strict=True):
+            patterns, values = [], []
+            for text in batch.column("text"):
                 text = text.as_py() or ""
                 words = WORD.findall(text)
                 if not words:
                     continue
                 h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-                before, around = patterns_of(h)
-                contexts = [(x, hit(0, x) & (x != 0)) for x in (before, around)]
-                known = hit(1, h)
-                found = np.flatnonzero(contexts[0][1] | contexts[1][1] | known)
-                if not len(found):
+                contexts = patterns_of(h)
+                known = instances[h & SLOT].astype(bool)
+                wanted = []
+                for context in contexts:
+                    likely = (limits[context & SLOT] > 0) | known
+                    wanted += [(i, p) for i, p in zip(np.flatnonzero(likely).tolist(), context[likely].tolist(), strict=True) if p and (known[i] or seen.get(p, ()) is not None)]
+                if not wanted:
                     continue
-                places = [(m.start(), m.end()) for m in WORD.finditer(text)]
-                taken, j, until = sorted([(b, e) for b, _, e in base_spans(text)] + secrets(text)), 0, 0
-                for i in found.tolist():
-                    b, e = places[i]
-                    value = text[b:e].rstrip(".!?")
-                    while j < len(taken) and taken[j][0] < b + len(value):
-                        until, j = max(until, taken[j][1]), j + 1
-                    if len(value) >= LEAST_LENGTH and until <= b:
-                        named = [signed(int(x[i])) for x, ok in contexts if ok[i] or known[i]]
-                        rows += [(text_id, b, b + len(value), signed(int(h[i])), p) for p in named]  # 0 is no pattern
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["text_id", "start", "end", "instance", "pattern"])
+                free = {i for i, _, _ in free_words(text, words, sorted({i for i, _ in wanted}))}
+                for i, p in wanted:
+                    if i in free:
+                        had, value = seen.setdefault(p, set()), int(h[i])
+                        if had is not None and value in had or had is None and not known[i]:
+                            continue
+                        patterns.append(signed(p))
+                        values.append(signed(value))
+                        if had is not None:
+                            had.add(value)
+                            limit = int(limits[p & SLOT])
+                            if limit and len(had) > 1 << limit:
+                                seen[p] = None  # no hope
+            return pa.RecordBatch.from_arrays([pa.array(patterns, pa.int64()), pa.array(values, pa.int64())], names=["pattern", "instance"])
+
+        return step
+
+    return map_batches(docs.select("text"), "pattern long, instance long", make)
+
+
+def find_places(docs: DataFrame, instances: np.ndarray) -> DataFrame:
+    """Of (text_id, text): (text_id, start, end, instance) of words that may be one of the instances."""
+
+    def make():
+        hashes = WordHashes()
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = []
+            for text_id, text in zip(batch.column("text_id").to_pylist(), batch.column("text"), strict=True):
+                text = text.as_py() or ""
+                words = WORD.findall(text)
+                h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+                rows += [(text_id, b, e, signed(int(h[i]))) for i, b, e in free_words(text, words, np.flatnonzero(instances[h & SLOT]).tolist())]
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64()), strict=True)], names=["text_id", "start", "end", "instance"])
 
         return step
 
-    return map_batches(docs, "text_id long, start int, end int, instance long, pattern long", make)
+    return map_batches(docs.select("text_id", "text"), "text_id long, start int, end int, instance long", make)
 
 
 def likely_patterns(edges: DataFrame, known: DataFrame) -> DataFrame:
@@ -248,22 +289,22 @@ def score_graph(edges: DataFrame, seeds: DataFrame, known: DataFrame) -> tuple[D
     return patterns, keep(joined.where(F.col("score") >= ACCEPT).join(seeds.select("instance").distinct(), "instance", "left_anti"), "instances")
 
 
-def discover(docs: DataFrame, edges: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-    """Of (text_id, text) and the seeds' distinct (pattern, instance, kind): the (instance, kind, score) that is discovered, and all candidates' places; None where no pattern has enough seeds."""
+def discover(docs: DataFrame, edges: DataFrame) -> DataFrame | None:
+    """Of (text) and the seeds' distinct (pattern, instance, kind): the (instance, kind, score) that is discovered; None where nothing is."""
     seeds = keep(edges.select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds")
-    known, found, places = seeds, None, None
+    known, found, before = seeds, None, None
     graph = keep(edges.select("pattern", "instance").distinct(), "graph")
-    before = (-1, -1)
     while True:
         # what may be seen in this round: patterns with enough known instances, and what has been discovered
-        likely = keep(likely_patterns(graph, known).select(F.col("pattern").alias("key")).distinct(), "likely")
+        likely = keep(likely_patterns(graph, known).groupBy(F.col("pattern").alias("key")).agg(F.max("sure").alias("sure")), "likely")
         new = keep((found if found is not None else seeds.limit(0)).select(F.col("instance").alias("key")).distinct(), "discovered")
         now = (likely.count(), new.count())
-        if now == before or not any(now):
-            return found, places
+        if now == before or not now[0]:
+            return found if now[1] else None
         before = now
-        places = keep(find_candidates(docs, bitmap(likely), bitmap(new)), "places")
-        seen = places.where("pattern <> 0").select("pattern", "instance")
+        # a confident pattern has at most its known instances' scores over CONFIDENT different ones
+        limits = slots_of(likely, f"least(60, ceil(log2(sure / {CONFIDENT} + 1)))")
+        seen = find_edges(docs, limits, slots_of(new, "1"))
         graph = keep(seen.union(edges.select("pattern", "instance")).distinct(), "graph")
         _, more = score_graph(graph, seeds, known)
         found = more if found is None else keep(found.unionByName(more).groupBy("instance", "kind").agg(F.max("score").alias("score")), "instances")  # what is known stays known, so this ends
@@ -280,13 +321,14 @@ def _extract_pii(docs: DataFrame) -> DataFrame:
     docs = ensure(docs, doc_id="long", text="string").withColumn("text_id", F.xxhash64("text", F.length("text")))
     rows = keep(find_base(docs), "base")
     edges = keep(rows.select(F.explode("seeds").alias("x")).select("x.*").distinct(), "edges")
-    found, places = discover(docs.select("text_id", "text"), edges)
+    found = discover(docs, edges)
     out = rows.drop("seeds")
     if found is None:
         out = out.withColumn("more", F.lit(None).cast(SPANS))
     else:
-        kinds = found.groupBy("instance").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind"))
-        new = places.select("text_id", "start", "end", "instance").distinct().join(kinds, "instance")
+        kinds = keep(found.groupBy("instance").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("kind")), "kinds")
+        places = find_places(docs, slots_of(kinds.withColumnRenamed("instance", "key"), "1")).distinct()
+        new = places.join(kinds, "instance")
         new = new.groupBy("text_id").agg(F.collect_list(F.struct("start", (F.col("kind") + len(ALL_KINDS)).alias("kind"), "end")).alias("more"))  # of one text
         out = out.join(new, "text_id", "left")
     names = F.lit([*ALL_KINDS, *(f"near_{k}" for k in ALL_KINDS)])
