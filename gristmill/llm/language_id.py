@@ -24,19 +24,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ensure, held_out, in_arrow, in_pieces, table
+from .common import ensure, held_out, in_arrow, in_pieces, keep, scratch, table
 
 WORD = re.compile(r"[^\W\d_]{1,32}")
 SENTENCE = re.compile(r"[.!?。！？\n]+")
 UNKNOWN = "und"
 #: The bounds of the fit: training documents of a language, about, picked by a hash of the id among those of at most so many characters.
 DOCS_PER_LANG, LONGEST = 100, 100_000
+MANY = 100_000  # languages whose shares are broadcast; beyond, ids are joined by a shuffle
 LEAST_RUN, SPLICE = 8, 40  # words of the shuffled runs of sentences, and of a training sequence, at least
 STEPS, RATE, DECAY = 60, 0.15, 1e-4  # of the fit
 BLOCK = 64  # words of a block in forward-backward
 GROUP = 1 << 21  # numbers that a group of blocks holds at a time, about
 FEW = 16  # languages up to which blocks are joined by their matrices, and beyond by vectors
-CACHE = 100_000  # words whose emissions are kept by a task
+CACHE = 1_000_000, 1 << 22  # words whose emissions are kept by a task, and their numbers, at most
 TINY = 1e-12
 
 
@@ -258,8 +259,13 @@ def runs_of(text: str) -> list[list[str]]:
 def training_runs(docs: DataFrame, most: int = DOCS_PER_LANG, longest: int = LONGEST) -> list[tuple[str, list[str]]]:
     """(lang, words) runs of all sentences of about `most` documents of each language, picked by a hash of the id among those of at most `longest` characters."""
     rows = docs.where("text is not null and lang is not null and lang <> '' and doc_id is not null").where(~held_out(F.col("doc_id"), 4, 2)).where(F.length("text") <= longest)
-    share = rows.groupBy(F.col("lang").alias("s_lang")).agg(F.least(F.lit(1.0), F.lit(most) / F.count(F.lit(1))).alias("share"))
-    picked = rows.join(share, F.col("lang") == F.col("s_lang")).where(F.pmod(F.xxhash64(F.lit("pick"), "doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    with scratch(docs.sparkSession):
+        names = keep(rows.select("doc_id", "lang"), "training-rows")  # without texts, which stay in their scan
+        share = keep(names.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(most) / F.count(F.lit(1))).alias("share")), "shares")
+        share = F.broadcast(share) if share.limit(MANY + 1).count() <= MANY else share
+        chosen = names.join(share, "lang").where(F.pmod(F.xxhash64(F.lit("pick"), "doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("doc_id").distinct()
+        chosen = keep(chosen, "chosen", lasting=1)
+    picked = rows.join(F.broadcast(chosen), "doc_id")  # about `most` ids a language
     found = sorted((r.lang, r.text) for r in picked.select("lang", "text").distinct().collect())
     return [(lang, run) for lang, text in found for run in runs_of(text)]
 
@@ -272,14 +278,15 @@ class Cache:
 
     def __init__(self, field: Field):
         self.field, self.at = field, {}
-        self.rows = np.empty((CACHE, len(field.langs)), np.float32)
+        self.most = min(CACHE[0], CACHE[1] // len(field.langs))
+        self.rows = np.empty((self.most, len(field.langs)), np.float32)
 
     def ids(self, words: list[str]) -> np.ndarray:
         new = set(words) - self.at.keys()
         if len(self.at) + len(new) > len(self.rows):  # forget all; a single piece may need more room than the cache has
             self.at.clear()
             new = set(words)
-            self.rows = np.empty((max(CACHE, len(new)), len(self.field.langs)), np.float32)
+            self.rows = np.empty((max(self.most, len(new)), len(self.field.langs)), np.float32)
         if new:
             some, at = list(new), len(self.at)
             self.rows[at : at + len(some)] = potentials(self.field.emissions(some))
@@ -325,6 +332,7 @@ def identify_language(docs: DataFrame, field: Field | None) -> DataFrame:
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text of documents, learned from the rows that aren't held out."""
     docs = ensure(table(spark, sf_dir, "documents"), doc_id="long", text="string", lang="string")
-    field = fit_field(training_runs(docs))
+    with scratch(spark):
+        field = fit_field(training_runs(docs))
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id"), 4, 2).alias("held_out"))
     return identify_language(rows, field).select("doc_id", "held_out", "lang_pred", "score", "n_words", "n_switches")
