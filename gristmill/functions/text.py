@@ -9,15 +9,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Words that a query drops, unless nothing else is left.
-STOP_TERMS = frozenset("part parts number oem pn procedure procedures instructions instruction steps guide how howto recommended proper correct official".split())
+STOP_TERMS = frozenset({"part", "parts", "number", "oem", "pn", "procedure", "procedures", "instructions", "instruction", "steps", "guide", "how", "howto", "recommended", "proper", "correct", "official"})
 #: Shapes of engine codes (three families), of a spec value's unit, and of a document reference.
 ENGINE_CODE = r"\bB2\d{2}(?!\d)(?:[A-Z][A-Z0-9]*)?|\bB[4568]\d{3}(?!\d)(?:[A-Z][A-Z0-9]*)?|\bD\d{2,4}(?!\d)(?:[A-Z][A-Z0-9]*)?"
 MAGNITUDE = r"(?i)(\d+(?:[.,]\d+)?)\s*(?:n[\s·.\-]?m|nm|newton[\s\-]?met(?:re|er)s?)\b"
 CITATION = r"(?i)\(?\s*VCC-?[0-9A-Za-z]+-?[0-9A-Za-z]*\s*\)?"
+#: Wordings by which an answer refuses or asks back, and by which a question asks for a value.
 REFUSAL_CUES = ("could ?n'?t find", "couldn'?t verify", "could not (?:find|verify)", "no verified", "nothing in the verified", "not able to verify", "unable to verify", "don'?t have a verified", "i (?:can'?t|cannot) confirm")
 ELICIT_CUES = ("which vehicle", "give me the vin", "what'?s the vin", "what (?:model|year|engine)", "(?:tell|give) me .{0,30}(?:vin|engine code|model|year)", "need the car", "so i can narrow", "to narrow (?:the search|it|down|your search)")
 SPEC_INTENT = r"(?i)\btorque|\btightening|\bnm\b|\bnewton|\btighten"
-LEADING_VERBS = ("Replacing", "Removing", "Installing", "Checking", "Adjusting", "Cleaning")
+#: Beginnings of a title that name an action.
+LEADING_VERBS = ("Replacing", "Removing", "Installing", "Checking", "Replacement of")
 
 
 def tokens(text: Column) -> Column:
@@ -25,6 +27,20 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+def token_words(text: Column) -> Column:
+    """The index tokens as one text, a space between each two."""
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+
+
+def word_total(words: Column) -> Column:
+    return F.when(words == "", 0).otherwise(F.length(words) - F.length(F.replace(words, F.lit(" "), F.lit(""))) + 1)
+
+
+def spaced_line(words: Column) -> Column:
+    """`token_line` of the tokens in `token_words`."""
+    return F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
+
+
 def token_line(toks: Column) -> Column:
     """Tokens on one line, each with a space on both sides, so that counting text counts tokens and phrases."""
     return F.concat(F.lit(" "), F.array_join(toks, "  "), F.lit(" "))
@@ -155,9 +171,11 @@ def strip_tags(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"[ \t\r\n\f\x0B]+", " "))
 
 
-def topic_of(title: Column) -> Column:
-    """A title without its leading verb (PRJ-19)."""
-    return F.regexp_replace(F.regexp_replace(title, f"^(?:{'|'.join(LEADING_VERBS)})", ""), "^[- ]+", "")
+def topic_of(title: Column, fallback: str = "this component") -> Column:
+    """What a title is about: without its leading verb, or a placeholder where nothing is left (PRJ-19)."""
+    t = F.trim(F.coalesce(title, F.lit("")))
+    rest = F.trim(F.regexp_replace(F.trim(F.regexp_replace(t, f"^(?:{'|'.join(LEADING_VERBS)})", "")), "^[- ]+", ""))
+    return F.coalesce(F.nullif(rest, F.lit("")), F.lit(fallback))
 
 
 def linked_citations(c: Column, base: str) -> Column:
@@ -208,3 +226,18 @@ def sibling_renders(path: Column) -> Column:
     """The rendered files that may stand beside a vector figure, best first (PRJ-20)."""
     stem = F.regexp_replace(path, r"\.[^.]+$", "")
     return F.when(F.lower(F.regexp_extract(path, r"\.[^.]+$", 0)) == ".cgm", F.array(*(F.concat(stem, F.lit(e)) for e in (".svg", ".png", ".gif", ".jpeg"))))
+
+
+def citation_of(ref: Column, doc_id: Column, title: Column) -> Column:
+    """How a document is cited: by its reference, else by its id, with its title (PRJ-11)."""
+    name = F.coalesce(F.nullif(ref, F.lit("")), F.concat(F.lit("document "), doc_id))
+    return F.concat(name, F.coalesce(F.concat(F.lit(" — "), F.nullif(F.trim(title), F.lit(""))), F.lit("")))
+
+
+def pin_citation(module: Column, connector: Column, pin: Column, source: Column, line: Column) -> Column:
+    """How a pin is cited: module, connector and pin, and the file and line it stands in (PRJ-11)."""
+    return F.concat(F.concat_ws(" ", module, F.concat(F.coalesce(connector, F.lit("")), F.lit(":"), pin)), F.lit(" — "), F.concat_ws(":", source, line.cast("string")))
+
+
+def part_citation(number: Column) -> Column:
+    return F.concat(F.lit("EPC/PartItems/"), number)

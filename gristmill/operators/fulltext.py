@@ -1,13 +1,14 @@
 """Ranked full-text search: expansion, matching, BM25, priors, tiers, blending (FT-1 to FT-20).
 
-A query's terms are few, so nothing is indexed or exchanged: one scan counts the terms' hits in each
-document beside its length, one small aggregate gives document frequencies, and a top-k ends it.
+A query's terms are few: one scan counts their hits in each document beside its length, one small aggregate
+gives document frequencies over the whole corpus, and a top-k ends it. `index.py` keeps postings for many queries.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ CANDIDATES, MOST_ALTS = 30, 8
 
 @dataclass
 class Query:
-    """A compiled query: OR-groups of phrases, joined by AND, or flat when relaxed."""
+    """A compiled query: for each term the wordings that stand for it, the term itself first."""
 
     text: str
     terms: list[str]
@@ -39,57 +40,76 @@ class Query:
 
     @property
     def phrases(self) -> list[str]:
-        return list(dict.fromkeys(p for g in self.groups.values() for a in g if (p := tx.index_phrase(a))))
+        """All wordings as phrases of index tokens, each once."""
+        return list(dict.fromkeys(p for g in self.phrase_groups() for p in g))
+
+    def phrase_groups(self) -> list[list[str]]:
+        return [[p for w in wordings if (p := tx.index_phrase(w))] for wordings in self.groups.values()]
 
     def rendered(self, relaxed: bool = False) -> str:
-        """The query as text, like a full-text engine would take it."""
-        if not self.terms:
-            return '""'
+        """The query as one line of text: every group, or any wording when relaxed."""
+        quoted = [[f'"{w}"' for w in wordings] for wordings in self.groups.values()]
         if relaxed:
-            return " OR ".join(f'"{a}"' for a in dict.fromkeys(a for g in self.groups.values() for a in g))
-        return " AND ".join("(" + " OR ".join(f'"{a}"' for a in g) + ")" for g in self.groups.values())
+            quoted = [[w] for w in dict.fromkeys(w for g in quoted for w in g)]
+        either = [g[0] if relaxed else f"({' OR '.join(g)})" for g in quoted]
+        return (" OR " if relaxed else " AND ").join(either) or '""'
+
+
+def expansions(terms: list[str], mined: dict[str, list[str]], phrases: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
+    """(term, further wordings) by rules of three kinds: for a word alone, for two words anywhere in the query, for words side by side."""
+    line = f" {' '.join(terms)} "
+    rules = [(t, list(dict.fromkeys(SYNONYMS.get(t, []) + mined.get(t, [])))[:MOST_ALTS]) for t in dict.fromkeys(terms)]
+    rules += [(target, extra) for pair, (target, extra) in PAIR_SYNONYMS.items() if set(pair) <= set(terms)]
+    rules += [(phrase.split()[-1], alts) for phrase, alts in phrases.items() if " " in phrase.strip() and f" {' '.join(phrase.split())} " in line]
+    return rules
 
 
 def compile_query(text: str, mined: dict[str, list[str]] | None = None, phrases: dict[str, list[str]] | None = None) -> Query:
-    """Terms with their alternates: stated ones, mined ones, those of word pairs and of whole phrases (FT-1 to FT-5)."""
+    """A query's terms with their wordings (FT-1 to FT-5)."""
     terms = tx.query_terms(text)
-    groups = {t: [t, *list(dict.fromkeys([*SYNONYMS.get(t, []), *(mined or {}).get(t, [])]))[:MOST_ALTS]] for t in terms}
-    for pair, (target, extra) in PAIR_SYNONYMS.items():
-        if all(p in groups for p in pair):
-            groups[target] = groups[target] + extra
-    for phrase, alts in (phrases or {}).items():
-        words = phrase.split()
-        if 2 <= len(words) <= len(terms) and any(terms[i : i + len(words)] == words for i in range(len(terms) - len(words) + 1)):
-            groups[words[-1]] += [a for a in alts if a not in groups[words[-1]]]
-    return Query(text, terms, groups)
+    out = Query(text, terms, {t: [t] for t in terms})
+    for term, wordings in expansions(terms, mined or {}, phrases or {}):
+        out.groups[term] += [w for w in wordings if w not in out.groups[term]]
+    return out
 
 
 def counted(docs: DataFrame, query: Query) -> DataFrame:
-    """`docs` (doc_id, title, text, ...) with `dl` and, for phrase i, the weighted hits `f{i}`."""
-    out = docs.withColumns({"_t": tx.tokens(F.col("title")), "_b": tx.tokens(F.col("text"))})
-    out = out.withColumns({"dl": F.size("_t") + F.size("_b"), "_tl": tx.token_line(F.col("_t")), "_bl": tx.token_line(F.col("_b"))})
-    return out.withColumns({f"f{i}": TITLE_WEIGHT * tx.hits(F.col("_tl"), p) + BODY_WEIGHT * tx.hits(F.col("_bl"), p) for i, p in enumerate(query.phrases)}).drop("_t", "_b", "_tl", "_bl")
+    """`docs` (doc_id, title, text, ...) with `dl` and, for phrase i, the weighted hits `f{i}`; texts are folded once."""
+    out = docs.withColumns({"_tw": tx.token_words(F.col("title")), "_bw": tx.token_words(F.col("text"))})
+    out = out.withColumns({"dl": tx.word_total(F.col("_tw")) + tx.word_total(F.col("_bw")), "_tl": tx.spaced_line(F.col("_tw")), "_bl": tx.spaced_line(F.col("_bw"))})
+    return out.withColumns({f"f{i}": TITLE_WEIGHT * tx.hits(F.col("_tl"), p) + BODY_WEIGHT * tx.hits(F.col("_bl"), p) for i, p in enumerate(query.phrases)}).drop("_tw", "_bw", "_tl", "_bl")
 
 
-def bm25(docs: DataFrame, query: Query, relaxed: bool = False) -> DataFrame:
-    """Matching documents with `rank`: lower is better (FT-7)."""
+def corpus_stats(rows: DataFrame, query: Query):
+    """One row over counted documents: how many, their mean length, and in how many each phrase stands."""
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *(F.count_if(F.col(f"f{i}") > 0).alias(f"df{i}") for i in range(len(query.phrases)))).first()
+
+
+def strictly(query: Query) -> Column:
+    """Whether a counted document has a wording of each term."""
+    at = {p: i for i, p in enumerate(query.phrases)}
+    groups = [[F.col(f"f{at[p]}") > 0 for p in g] for g in query.phrase_groups()]
+    return reduce(lambda a, b: a & b, (reduce(lambda a, b: a | b, g, F.lit(False)) for g in groups), F.lit(bool(groups)))
+
+
+def ranked(rows: DataFrame, query: Query, stats, *keep: str) -> DataFrame:
+    """Counted documents with any phrase: `keep` columns, `rank` (lower is better) and whether they match strictly (FT-7)."""
     phrases = query.phrases
-    if not phrases:
+    norm = K1 * (1 - B + B * F.col("dl") / F.lit(stats.avgdl or 1.0))
+    score, some = F.lit(0.0), F.lit(False)
+    for i in range(len(phrases)):
+        idf, f = max(1e-6, math.log((stats.n - stats[f"df{i}"] + 0.5) / (stats[f"df{i}"] + 0.5))), F.col(f"f{i}")
+        score, some = score + F.lit(idf) * f * (K1 + 1) / (f + norm), some | (f > 0)
+    return rows.where(some).select(*keep, (-score).alias("rank"), strictly(query).alias("strict"))
+
+
+def bm25(docs: DataFrame, query: Query, relaxed: bool = False) -> DataFrame:
+    """Matching documents with `rank`: lower is better. Statistics are those of all of `docs`."""
+    if not query.phrases:
         return docs.where("false").withColumn("rank", F.lit(0.0))
     rows = counted(docs, query)
-    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *(F.count_if(F.col(f"f{i}") > 0).alias(f"df{i}") for i in range(len(phrases)))).first()  # one row
-    idf = [max(1e-6, math.log((stats.n - stats[f"df{i}"] + 0.5) / (stats[f"df{i}"] + 0.5))) for i in range(len(phrases))]
-    norm = K1 * (1 - B + B * F.col("dl") / F.lit(stats.avgdl or 1.0))
-    score = sum((F.lit(idf[i]) * F.col(f"f{i}") * (K1 + 1) / (F.col(f"f{i}") + norm) for i in range(len(phrases))), F.lit(0.0))
-    hit = {p: F.col(f"f{i}") > 0 for i, p in enumerate(phrases)}
-    alive = [[hit[p] for a in g if (p := tx.index_phrase(a))] for g in query.groups.values()]
-    match = F.lit(not relaxed)
-    for group in alive:
-        one = F.lit(False)
-        for h in group:
-            one = one | h
-        match = (match | one) if relaxed else (match & one)
-    return rows.where(match).withColumn("rank", -score).select(*docs.columns, "rank")
+    out = ranked(rows, query, corpus_stats(rows, query), *docs.columns)
+    return (out if relaxed else out.where("strict")).drop("strict")
 
 
 def top_k(rows: DataFrame, by: str | Column, k: int, key: str = "doc_id") -> DataFrame:
@@ -110,30 +130,32 @@ def penalised(rows: DataFrame, when: list[tuple[Column, float]]) -> DataFrame:
     return rows.withColumn("rank", F.col("rank") + sum((F.when(c, p).otherwise(0.0) for c, p in when), F.lit(0.0)))
 
 
+def tier(hits: DataFrame, query: Query, k: int = CANDIDATES) -> tuple[DataFrame, bool]:
+    """Of ranked hits (strict, rank): the k best strict ones, and where fewer than two match and the query has several terms, the k best of all behind them; whether there are relaxed ones only (FT-10)."""
+    strict = top_k(hits.where("strict"), "rank", k)
+    n = strict.limit(2).count()
+    if n >= 2 or len(query.terms) < 2:
+        return strict, False
+    every = top_k(hits, "rank", k)
+    rows = every if not n else every.unionByName(strict.join(every.select("doc_id"), "doc_id", "left_anti"))
+    return rows, not n and not every.isEmpty()
+
+
 def relaxed_tier(docs: DataFrame, query: Query, k: int = CANDIDATES) -> DataFrame:
-    """Strict hits; where fewer than two and the query has several terms, relaxed ones behind them. One scan decides both (FT-10)."""
-    loose = bm25(docs, query, relaxed=True)
-    groups = [[tx.index_phrase(a) for a in g if tx.index_phrase(a)] for g in query.groups.values()]
-    line = F.concat(tx.token_line(tx.tokens(F.col("title"))), tx.token_line(tx.tokens(F.col("text"))))
-    strict = F.lit(bool(groups))
-    for g in groups:
-        one = F.lit(False)
-        for p in g:
-            one = one | (tx.hits(line, p) > 0)
-        strict = strict & one
-    rows = loose.withColumn("strict", strict).orderBy(F.desc("strict"), "rank", "doc_id").limit(k)
-    n_strict = F.sum(F.col("strict").cast("int")).over(Window.partitionBy(F.lit(0)))  # over k rows
-    return rows.withColumn("n_strict", n_strict).where(F.col("strict") | ((F.col("n_strict") < 2) & F.lit(len(query.terms) >= 2)))
+    """`tier` over documents, with `strict`."""
+    rows = counted(docs, query)
+    return tier(ranked(rows, query, corpus_stats(rows, query), *docs.columns), query, k)[0]
 
 
 def blended(car: DataFrame, other: DataFrame, limit: int, low_confidence: bool = False) -> DataFrame:
-    """Rows of the own tier first, room being kept for some of the others (FT-12). Both have doc_id and adj; both are short."""
-    own = car.withColumn("at", F.row_number().over(Window.orderBy("adj", "doc_id")))
-    n_own = own.count()
-    keep_other = limit // 2 if low_confidence else max(2, limit - n_own)
-    others = other.join(car.select("doc_id"), "doc_id", "left_anti").withColumn("at", F.row_number().over(Window.orderBy("adj", "doc_id")))
-    keep_other = min(keep_other, others.count())
-    rows = own.where(F.col("at") <= limit - keep_other).withColumn("tier", F.lit(0)).unionByName(others.where(F.col("at") <= keep_other).withColumn("tier", F.lit(1)), allowMissingColumns=True)
+    """Rows of the own tier first, room being kept for some of the others, and for more of them where the own tier is loose and the other strict (FT-12). Both have doc_id and adj, and count up to `limit` rows."""
+    best = lambda rows: top_k(rows, "adj", limit).withColumn("at", F.row_number().over(Window.orderBy("adj", "doc_id")))
+    own = best(car)
+    others = best(other).join(own.select("doc_id"), "doc_id", "left_anti").withColumn("at", F.row_number().over(Window.orderBy("adj", "doc_id")))
+    n_own, n_others = own.count(), others.count()
+    room = max(2, limit - n_own)
+    room = min(max(room, limit // 2) if low_confidence else room, n_others)
+    rows = own.where(F.col("at") <= limit - room).withColumn("tier", F.lit(0)).unionByName(others.where(F.col("at") <= room).withColumn("tier", F.lit(1)), allowMissingColumns=True)
     return rows.withColumn("pos", F.row_number().over(Window.orderBy("tier", "at")) - 1)
 
 
@@ -146,11 +168,17 @@ def snippet(text: Column, terms: list[str], width: int = 24) -> Column:
     return F.concat(F.when(begin > 1, "… ").otherwise(""), cut, F.when(F.size(words) >= begin + width, " …").otherwise(""))
 
 
-def shaped(rows: DataFrame, family: str, lead: int = 2800, lead_rows: int = 3) -> DataFrame:
-    """Results with their lead text for the first few, which is withheld where it belongs to another engine (FT-20). Needs pos, engine, text, scope."""
-    fits = tx.applicability(F.col("engine"), family)
-    bad = (fits == "wrong") | ((fits == "generic") & tx.names_only_others(F.left("text", F.lit(lead)), family))
-    return rows.withColumns({"applicability": fits, "lead": F.when((F.col("pos") < lead_rows) & ~bad, F.left("text", F.lit(lead))), "scope": F.when(bad, "other vehicles").otherwise(F.col("scope")), "warning": F.when(bad, "written for another engine")})
+def shaped(rows: DataFrame, family: str, enforce: bool = True, lead: int = 2800, lead_rows: int = 3) -> DataFrame:
+    """Results with their lead text for the first few (FT-20). Needs pos, engine, text, scope.
+
+    Where applicability is enforced, a document of another engine is labelled so and its lead withheld; one that
+    isn't tagged, but begins with another engine, keeps its scope and loses its lead.
+    """
+    fits = tx.applicability(F.col("engine"), family) if enforce else F.lit("compatible")
+    begins = (fits == "generic") & tx.names_only_others(F.left("text", F.lit(lead)), family) & (F.col("pos") < lead_rows)
+    shown = (F.col("pos") < lead_rows) & (fits != "wrong") & ~begins
+    warning = F.when(fits == "wrong", "written for another engine").when(begins, "begins with values of another engine")
+    return rows.withColumns({"applicability": fits, "lead": F.when(shown, F.left("text", F.lit(lead))), "scope": F.when(fits == "wrong", "other engine (not this car)").otherwise(F.col("scope")), "warning": warning})
 
 
 def conflicts(rows: DataFrame, anchors: list[str], first: int = 6) -> DataFrame:

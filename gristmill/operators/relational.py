@@ -18,10 +18,14 @@ def only(filters: list[Column | None]) -> Column:
     return reduce(lambda a, b: a & b, given)
 
 
-def ancestors(profiles: DataFrame, model: str, year: str, engine: str) -> DataFrame:
-    """Profiles that hold for a vehicle, a null meaning any; a profile of nulls alone holds for none (FLT-11)."""
+def ancestors(profiles: DataFrame, model: str | None, year: str | None, engine: str) -> DataFrame:
+    """Profiles that hold for a vehicle, a null meaning any; a profile of nulls alone holds for none, and what isn't known of the vehicle rules none out (FLT-11)."""
     m, y, e = F.col("model"), F.col("year"), F.col("engine")
-    fits = (m.isNull() | (m == model)) & (y.isNull() | (y == year) | (e == engine)) & (e.isNull() | (e == engine))
+    fits = e.isNull() | (e == engine)
+    if model:
+        fits = fits & (m.isNull() | (m == model))
+    if year:
+        fits = fits & (y.isNull() | (y == year) | F.coalesce(e == engine, F.lit(False)))
     return profiles.where(fits & ~(m.isNull() & y.isNull() & e.isNull()))
 
 

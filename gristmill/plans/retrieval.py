@@ -130,7 +130,7 @@ def ft24_list_sources(spark, d):
 
 
 def ft19_reference(spark, d):
-    return tools.search_docs(store(spark, d), "see VCC-00001 for more", 5).select("pos", "doc_id", "ref")
+    return tools.search_docs(store(spark, d), "see vcc 000012-1 for more", 5).select("pos", "doc_id", "ref")
 
 
 def ft21_conflicts(spark, d):
@@ -207,7 +207,7 @@ _BONUS = " + ".join(f"case when contains(lower(title), '{t}') then 2.0 else 0.0
 _DIST = "sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: (x[1]::double - x[2]::double) * (x[1]::double - x[2]::double))))"
 _NEAR = f"near as (select a.vec_id, {_DIST} as dist from embeddings a, embeddings b where b.vec_id = 0 and a.vec_id <> 0 order by dist, a.vec_id limit 40)"
 _LISTS = f"{_RELAXED}, {_NEAR}, lex as (select doc_id, row_number() over (order by rank, doc_id) - 1 as pos from (select * from m order by rank, doc_id limit 12)), v as (select vec_id as doc_id, row_number() over (order by round(dist, 5), vec_id) - 1 as pos from near)"
-_FIGS = "f as (select doc_id, left(text, 300) || ' [image A1] the with ' || substr(text, 300, 900) || ' B4204T [image M2]' as text from documents where doc_id % 10 = 0)"
+_FIGS = "f as (select doc_id, left(text, 300) || ' [image A1] the with ' || substr(text, 301) || ' B4204T [image M2]' as text from documents)"
 
 ORACLE_SQL = {
     "p0_ranked_search": f"{_RELAXED} select doc_id, round(rank, 6) as rank from m order by m.rank, doc_id limit 8",
@@ -215,7 +215,7 @@ ORACLE_SQL = {
     "ft6_token_counts": f"select term, count(*) as df from (select distinct doc_id, unnest({TOKENS_SQL.format('text')}) as term from documents) group by term",
     "ft11_rerank": f"{_RELAXED}, r as (select doc_id, rank - ({_BONUS}) as adj from m) select doc_id, round(adj, 6) as adj from r order by r.adj, doc_id limit 30",
     "ft8_penalties": f"{_RELAXED}, r as (select m.doc_id, rank + case when lang = 'de' then 6.0 else 0.0 end + case when source = 'src1' then 1.5 else 0.0 end as rank from m join documents using (doc_id)) select doc_id, round(rank, 6) as rank from r order by r.rank, doc_id limit 30",
-    "ft10_relaxed_tier": f"{_RELAXED}, t as (select doc_id, rank, doc_id in (select doc_id from h where " + " and ".join(f"f{i} > 0" for i in range(len(SEARCH.phrases))) + ") as strict from m), k as (select * from t order by strict desc, rank, doc_id limit 30), n as (select count(*) filter (strict) as ns from k) select doc_id, strict, round(rank, 6) as rank from k, n where strict or ns < 2",
+    "ft10_relaxed_tier": f"{_RELAXED}, t as (select doc_id, rank, doc_id in (select doc_id from h where " + " and ".join(f"f{i} > 0" for i in range(len(SEARCH.phrases))) + ") as strict from m), n as (select count(*) filter (strict) as ns from t), k as (select *, row_number() over (partition by strict order by rank, doc_id) as own, row_number() over (order by rank, doc_id) as every from t) select doc_id, strict, round(rank, 6) as rank from k, n where (strict and own <= 30) or (ns < 2 and every <= 30)",
     "ft14_nearest": f"with {_NEAR} select vec_id, round(dist, 5) as dist from near",
     "ft15_gate": f"with {_NEAR}, r as (select vec_id, round(dist, 5) as dist from near) select * from r where dist <= 1.35 and dist - (select min(dist) from r) <= 0.15",
     "ft14_nearest_to_each": f"with p as (select b.vec_id as query_id, a.vec_id, {_DIST} as dist from embeddings a, embeddings b where b.vec_id % 50 = 0), r as (select *, row_number() over (partition by query_id order by dist, vec_id) as k from p) select query_id, vec_id, round(dist, 4) as dist from r where k <= 5",
@@ -226,7 +226,7 @@ ORACLE_SQL = {
     "str5_engine_codes": "select doc_id, 'B5254T4,B230FT,D24TIC' as codes from documents",
     "fig1_weights": "with t(term) as (values ('with'), ('thanes'), ('the')), c as (select count(*) as n from documents) select term, round(ln(1 + n / ((select count(*) from documents where contains(lower(text), term)) + 1)), 8) as weight from t, c",
     "fig2_markers": f"with {_FIGS}, a as (select doc_id, text, 0 as ordinal, 'A1' as title, strpos(text, '[image A1]') - 1 as at_ from f union all select doc_id, text, 1, 'M2', strpos(text, '[image M2]') - 1 from f) select doc_id, ordinal::int as ordinal, title, at_::int as \"at\" from a",
-    "ft19_reference": "select row_number() over (order by doc_id) - 1 as pos, doc_id::varchar as doc_id, 'VCC-' || lpad(doc_id::varchar, 6, '0') as ref from (select doc_id from documents where 'VCC-' || lpad(doc_id::varchar, 6, '0') ilike 'VCC-00001%' order by doc_id limit 5)",
+    "ft19_reference": "select (row_number() over (order by doc_id) - 1)::int as pos, doc_id::varchar as doc_id, 'VCC-' || lpad(doc_id::varchar, 6, '0') as ref from documents where starts_with('VCC-' || lpad(doc_id::varchar, 6, '0'), 'VCC-000012')",
     "ft24_get_document": "select doc_id::varchar as doc_id, 'VCC-' || lpad(doc_id::varchar, 6, '0') as ref, left(split_part(text, chr(10), 1), 80) as title, substr(text, 1001, 8000) as text, length(text) as text_length, length(text) > 9000 as truncated, case when length(text) > 9000 then 9000 end as next_offset from documents where doc_id = 3",
     "str2_stripped": r"with s as (select page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \t\r\n\f\x0B]+', ' ', 'g')) as x from pages) select page_id, md5(x) as digest, length(x)::int as n from s",
 }
