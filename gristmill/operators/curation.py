@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import estimated_tokens
+from ..sources.stored import stored
 
 MAX_TOKENS = 4096
 ROLES = ("system", "user", "assistant", "tool")
 TOOL_CALL = "array<struct<id:string,name:string,arguments:string>>"
 MESSAGE = f"struct<role:string,content:string,tool_calls:{TOOL_CALL},tool_call_id:string>"
-#: Shares of the types of records, and of the kinds of grounded ones.
+#: Shares of the types of records, and of the kinds of grounded ones.
 SHARES = {"grounded": 0.55, "refusal": 0.12, "elicitation": 0.08, "cross_vehicle": 0.08, "multi_turn": 0.12, "figure": 0.05}
 GROUNDED = {"part": 0.40, "torque": 0.30, "procedure": 0.25, "pinout": 0.05}
 
@@ -39,6 +40,15 @@ def plan_counts(spark: SparkSession, limit: int, shares: dict[str, float] | None
     return rows.select("example_type", F.greatest(F.lit(1), F.bround(F.col("share") * limit)).cast("int").alias("target"))
 
 
+def producer_counts(spark: SparkSession, limit: int) -> DataFrame:
+    """(example_type, answer_type, target): the plan with the grounded share split among its kinds, one at least of each."""
+    plan = plan_counts(spark, limit)
+    kinds = spark.createDataFrame(list(GROUNDED.items()), "answer_type string, share double")
+    split = plan.where("example_type = 'grounded'").crossJoin(F.broadcast(kinds))  # one row by four
+    split = split.select("example_type", "answer_type", F.greatest(F.lit(1), F.bround(F.col("share") * F.col("target"))).cast("int").alias("target"))
+    return split.unionByName(plan.where("example_type <> 'grounded'").select("example_type", F.col("example_type").alias("answer_type"), "target"))
+
+
 def record_hash(messages: Column) -> Column:
     return F.sha1(F.to_json(messages))
 
@@ -88,7 +98,8 @@ def short_enough(records: DataFrame, chars: Column, most: int = MAX_TOKENS) -> D
 def filled(producers: list[tuple[DataFrame, int]], chars: Column, valid: Column, most: int = MAX_TOKENS) -> DataFrame:
     """The first `target` records of each producer in turn that are short, valid and new (DS-7). Producers: hash, seq, ...; few, so the loop is over plans, not rows.
 
-    Each producer's kept hashes are excluded from the next; a window over all would differ where a duplicate was beyond an earlier quota.
+    Each producer's kept records are a stored table, whose hashes are excluded from the next, so a plan doesn't hold those before it;
+    a window over all would differ where a duplicate was beyond an earlier quota.
     """
     kept = None
     for rows, target in producers:
@@ -96,7 +107,7 @@ def filled(producers: list[tuple[DataFrame, int]], chars: Column, valid: Column,
         if kept is not None:
             rows = rows.join(kept.select("hash"), "hash", "left_anti")
         first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("hash").orderBy("seq"))).where("_n = 1").drop("_n")
-        took = first.orderBy("seq").limit(target)
+        took = stored(first.orderBy("seq").limit(target), "kept")
         kept = took if kept is None else kept.unionByName(took)
     return kept
 

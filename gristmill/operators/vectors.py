@@ -21,13 +21,15 @@ def nearest(vectors: DataFrame, query: list[float], k: int = K, vector: str = "e
     return rows.orderBy("dist", key).limit(k)
 
 
-def nearest_to_each(queries: DataFrame, vectors: DataFrame, k: int = K, most: int = 10_000) -> DataFrame:
-    """(query_id, vec_id, dist, rank) for a table of few queries, whose size is checked; all vectors are looked at."""
-    if queries.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} queries: take them in blocks")
-    pairs = vectors.join(F.broadcast(queries.select("query_id", F.col("embedding").alias("q"))))
-    rows = pairs.select("query_id", "vec_id", distance(F.col("embedding"), F.col("q")).alias("dist"))
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("dist", "vec_id"))).where(F.col("rank") <= k)
+def nearest_to_each(queries: DataFrame, vectors: DataFrame, k: int = K, block: int = 10_000, share: int = 50_000) -> DataFrame:
+    """(query_id, vec_id, dist, rank), exact for any number of queries: a task holds a block of queries against a share of the vectors, and keeps k for each query before rows are exchanged."""
+    blocks, shares = max(1, -(-queries.count() // block)), max(1, -(-vectors.count() // share))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select("query_id", F.col("embedding").alias("q"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")).withColumn("share", each(shares))
+    v = vectors.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(shares)).cast("int").alias("share")).withColumn("block", each(blocks))
+    rows = v.join(q, ["block", "share"]).select("query_id", "vec_id", "share", distance(F.col("embedding"), F.col("q")).alias("dist"))
+    near = rows.withColumn("n", F.row_number().over(Window.partitionBy("query_id", "share").orderBy("dist", "vec_id"))).where(F.col("n") <= k)
+    return near.select("query_id", "vec_id", "dist").withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("dist", "vec_id"))).where(F.col("rank") <= k)
 
 
 def gated(hits: DataFrame, ceiling: float = CEILING, margin: float = MARGIN, unanchored: float = UNANCHORED, anchored: Column | None = None) -> DataFrame:
