@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import html_escape
@@ -15,16 +15,65 @@ def reload(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+class Versions:
+    """A table as numbered versions in a folder, and a pointer to the one that holds (SNK-3 to SNK-6).
+
+    A version is written whole before a pointer to it appears, by one rename that is checked; a failure anywhere
+    leaves the older pointer, and so the older rows, as they were.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.jvm, self.where = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self.fs = self.where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def _pointers(self) -> list[tuple[int, str]]:
+        if not self.fs.exists(self.where):
+            return []
+        names = [f.getPath().getName() for f in self.fs.listStatus(self.where)]
+        return sorted((int(n.split("-")[1]), n.split("-", 2)[2]) for n in names if n.startswith("current-"))
+
+    def read(self, schema: str) -> DataFrame:
+        """The rows that hold; none before the first version. Any error in reading is an error."""
+        pointers = self._pointers()
+        if not pointers:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{pointers[-1][1]}")
+
+    def write(self, df: DataFrame) -> None:
+        """Make `df`, which may be read from this table, what holds; older versions but the last go."""
+        pointers = self._pointers()
+        number, name = (pointers[-1][0] + 1 if pointers else 1), f"v-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{name}")
+        made = self._path(f".{name}")
+        self.fs.create(made, False).close()
+        if not self.fs.rename(made, self._path(f"current-{number:012d}-{name}")):
+            raise OSError(f"version {number} of {self.path} could not be named; the last one holds")
+        for n, old in pointers[:-1]:
+            self.fs.delete(self._path(f"current-{n:012d}-{old}"), True)
+            self.fs.delete(self._path(old), True)
+
+
 def replace_in_place(df: DataFrame, path: str) -> None:
-    """Replace a table by rows that may be read from it: written beside it, then swapped (SNK-3 to SNK-6)."""
+    """Replace a plain table by rows that may be read from it: written beside it, then swapped; the old rows are kept until the new ones are in place."""
     spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    fresh, aside = (f"{path.rstrip('/')}-{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
     df.write.parquet(fresh)
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, old = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(path)
-    fs = old.getFileSystem(conf)
-    fs.delete(old, True)
-    fs.rename(new, old)
+    jvm = spark._jvm
+    new, old, here = (jvm.org.apache.hadoop.fs.Path(x) for x in (fresh, aside, path))
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(here)
+    if had and not fs.rename(here, old):
+        raise OSError(f"{path} could not be put aside; it holds as it was")
+    if not fs.rename(new, here):
+        if had:
+            fs.rename(old, here)
+        raise OSError(f"{fresh} could not take the place of {path}, which holds as it was")
+    if had:
+        fs.delete(old, True)
 
 
 def delete_where(df: DataFrame, predicate) -> DataFrame:
