@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import curation, evaluation, relational, retrieval
+from . import curation, evaluation, records, relational, retrieval
 
 FLAGSHIP = "p0_ranked_search"
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (retrieval, relational, curation, evaluation):
+for _module in (retrieval, relational, curation, evaluation, records):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= _module.ORACLE_SQL
