@@ -86,7 +86,7 @@ def prj6_breadcrumbs(spark, d):
     return rel.breadcrumbs(c)
 
 
-@query("with l as (select l_suppkey as section_id, 'S' || l_suppkey::varchar as section_title, l_orderkey * 10 + l_linenumber as seq, p_partkey::varchar as part_number, p_name as description, (l_quantity % 3)::int as qty, 4 + l_linenumber % 2 as type_id from lineitem join part on l_partkey = p_partkey where l_orderkey < 3000) select section_id, '# ' || section_title || chr(10) || string_agg(line, chr(10) order by seq, line) as text from (select *, '- ' || part_number || ' ' || description || case when qty <> 1 then ' (qty ' || qty::varchar || ')' else '' end || case when type_id = 5 then ' [non-stocked]' else '' end as line from l) group by section_id, section_title")
+@query("with l as (select l_suppkey as section_id, 'S' || l_suppkey::varchar as section_title, l_orderkey * 10 + l_linenumber as seq, p_partkey::varchar as part_number, p_name as description, (l_quantity % 3)::int as qty, 4 + l_linenumber % 2 as type_id from lineitem join part on l_partkey = p_partkey) select section_id, '# ' || section_title || chr(10) || string_agg(line, chr(10) order by seq, line) as text from (select *, '- ' || part_number || ' ' || description || case when qty <> 1 then ' (qty ' || qty::varchar || ')' else '' end || case when type_id = 5 then ' [non-stocked]' else '' end as line from l) group by section_id, section_title")
 def prj9_section_documents(spark, d):
     li = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     rows = li.select(F.col("l_suppkey").alias("section_id"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("section_title"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("p_partkey").cast("string").alias("part_number"), F.col("p_name").alias("description"), (F.col("l_quantity") % 3).cast("int").alias("qty"), (4 + F.col("l_linenumber") % 2).alias("type_id"))
@@ -115,7 +115,7 @@ def jn1_dimension_chain(spark, d):
     return table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_name", "r_name", "c_custkey")
 
 
-_LEX_SQL = "select doc_id as description_id, case when lang = 'en' then 'us' else 'gb' end as language, left(text, 40) as text from documents"
+_LEX_SQL = "select doc_id as description_id, case when lang = 'en' then 'us' else 'gb' end as language, text from documents"
 
 
 @query(f"with l as ({_LEX_SQL}) select doc_id, coalesce(u.text, g.text) as text from labels left join (select * from l where language = 'us') u on doc_id = u.description_id left join (select * from l where language = 'gb') g on doc_id = g.description_id")
@@ -250,7 +250,7 @@ def fn10_json_valid(spark, d):
     return table(spark, d, "events").select("event_id", F.try_parse_json("props").isNotNull().alias("valid"))
 
 
-@query("select part_number, section_id, scope from (select *, row_number() over (partition by part_number order by scope_rank, section_id) as k from (select part_number, section_id, case when s.doc_id is null then 'not vehicle-specific' else 'other vehicles' end as scope, case when s.doc_id is null then 1 else 2 end as scope_rank from (" + PARTS_SQL + ") p left join (select distinct doc_id from (" + EDGES_SQL + ")) s on s.doc_id = section_id where description ilike '%e%')) where k = 1 order by scope_rank, part_number limit 20")
+@query(f"with tagged as (select distinct doc_id as section_id from ({EDGES_SQL})), mine as (select distinct doc_id as section_id from ({EDGES_SQL}) join ({PROFILES_SQL}) using (profile_id) where engine is null and (model is not null or year is not null)), p as ({PARTS_SQL}), r as (select part_number, section_id, case when section_id not in (from tagged) then 1 when section_id in (from mine) then 0 else 2 end as scope_rank from p where description ilike '%e%') select part_number, section_id, ['this car', 'not vehicle-specific', 'other vehicles'][scope_rank + 1] as scope from (select *, row_number() over (partition by part_number order by scope_rank, section_id) as k from r) where k = 1 order by scope_rank, part_number limit 20")
 def ft24_epc_part(spark, d):
     s = store(spark, d)
     s.tables |= {"section_profiles": edges(spark, d).withColumnRenamed("doc_id", "section_id"), "profiles": profiles(spark, d)}

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from gristmill.functions import parsers
@@ -162,7 +163,7 @@ def test_tools(spark):
     docs = spark.createDataFrame([("1", "VCC-1", "intake valve", None, None, "B5254T4", "s", "intake valve text", ["a.png"], "db"), ("2", "VCC-2", "intake valve", None, None, "B4204T", "s", "intake valve text", [], "db")], "doc_id string, ref string, title string, model string, year string, engine string, section string, text string, refs array<string>, db string")
     s = tools.Store(docs)
     rows = tools.search_docs(s, "intake valve", 5).collect()
-    assert [(r.doc_id, r.scope) for r in rows] == [("1", "this car"), ("2", "other vehicles")] and rows[0].lead and rows[1].lead is None
+    assert [(r.doc_id, r.scope) for r in rows] == [("1", "this car"), ("2", "other engine (not this car)")] and rows[0].lead and rows[1].lead is None
     assert [r.doc_id for r in tools.search_docs(s, "intake valve 1999", 5, profile="V70 B4204T").collect()] == ["2"] and "B4204T" in tools.search_docs(s, "intake 1999", 5, profile="V70 B4204T").first().notice
     assert tools.get_document(s, "VCC-2").first().doc_id == "2"
     assert tools.list_sources(s).count() == 1
@@ -174,4 +175,105 @@ def test_stream_ledger(spark, tmp_path):
     ledger.run(spark, src, schema, path, str(tmp_path / "cp")).awaitTermination()
     spark.createDataFrame([("b", 2, "z"), ("c", 2, "w")], schema).coalesce(1).write.mode("append").parquet(src)
     ledger.run(spark, src, schema, path, str(tmp_path / "cp")).awaitTermination()
-    assert {r.doc_id: r.status for r in spark.read.parquet(path).collect()} == {"a": "new", "b": "changed", "c": "new"}
+    assert {r.doc_id: r.status for r in ledger.read_ledger(spark, path).collect()} == {"a": "new", "b": "changed", "c": "new"}
+
+
+def test_ledger_survives_failures(spark, tmp_path, monkeypatch):
+    """Neither a read that fails nor a rename that does loses rows, and a batch that comes again changes nothing."""
+    path, rows = str(tmp_path / "ledger"), lambda *r: spark.createDataFrame(r, "doc_id string, seq int, body string")
+    ledger.apply_batch(rows(("a", 1, "x"), ("b", 1, "y")), 0, path)
+    monkeypatch.setattr(sinks.Versions, "read", lambda self, schema: (_ for _ in ()).throw(OSError("no answer")))
+    with pytest.raises(OSError, match="no answer"):
+        ledger.apply_batch(rows(("c", 1, "z")), 1, path)
+    monkeypatch.undo()
+
+    class Refusing:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return (lambda *a: False) if name == "rename" else getattr(self.fs, name)
+
+    make = sinks.Versions.__init__
+    monkeypatch.setattr(sinks.Versions, "__init__", lambda self, *a: (make(self, *a), setattr(self, "fs", Refusing(self.fs)))[0])
+    with pytest.raises(OSError, match="last one holds"):
+        ledger.apply_batch(rows(("c", 1, "z")), 1, path)
+    monkeypatch.undo()
+    assert {r.doc_id for r in ledger.read_ledger(spark, path).collect()} == {"a", "b"}
+    for _ in range(2):
+        ledger.apply_batch(rows(("c", 1, "z"), ("b", 1, "y")), 1, path)
+    assert {(r.doc_id, r.status, r.batch) for r in ledger.read_ledger(spark, path).collect()} == {("a", "new", 0), ("b", "new", 0), ("c", "new", 1)}
+
+
+def test_search_rules(spark):
+    """Catalogue entries step back unless parts are asked for by any of the words; a vehicle without a model has the profiles of its engine."""
+    schema = "doc_id string, ref string, title string, engine string, section string, text string, refs array<string>, db string"
+    docs = spark.createDataFrame([("1", "VCC-000001", "intake manifold", "B5254T4", "s", "intake manifold, fitted", [], "db"), ("2", None, "intake manifold parts", None, "s", "intake manifold intake manifold", [], "EPC"), ("3", "VCC-123456-1", "Faulty signal", None, "s", "other", [], "db")], schema)
+    profiles = spark.createDataFrame([("p", "S60", None, "B5254T4"), ("q", "V70", "2001", "B6294T")], "profile_id string, model string, year string, engine string")
+    edges = spark.createDataFrame([("1", "p"), ("3", "q")], "doc_id string, profile_id string")
+    s = tools.Store(docs, {"profiles": profiles, "doc_profiles": edges})
+    assert [r.doc_id for r in s.own(s.car).collect()] == ["1"]
+    found = lambda q, **k: [(r.doc_id, r.scope) for r in tools.search_docs(s, q, 5, **k).collect()]
+    assert found("intake manifold") == [("1", "this car"), ("2", "not vehicle-specific")]
+    rank = lambda q: {r.doc_id: r["rank"] for r in tools.search_docs(s, q, 5).collect()}
+    plain, asked = rank("intake manifold"), rank("intake manifold part number")
+    assert plain["1"] == asked["1"] and plain["2"] == pytest.approx(asked["2"] + 6.0)
+    assert found("see VCC 123456")[0][0] == "3" and found("VCC-999999 intake manifold")[0][0] == "1"  # an unknown reference falls through
+    assert found("intake manifold", profile="all")[0][1] is None
+    first = tools.search_docs(s, "intake manifold 2019", 5).first()
+    assert "2015" in first.notice and first.citation.startswith("VCC-000001") and tools.search_docs(s, "zzz", 5).count() == 0
+
+
+def test_search_conflict_and_vectors(spark):
+    schema = "doc_id string, ref string, title string, engine string, section string, text string, refs array<string>, db string"
+    docs = spark.createDataFrame([("1", "VCC-000001", "Tightening torque", "B5254T4", "s", "camshaft cap 17 Nm", [], "db"), ("2", "VCC-000002", "Tightening torque", "D5244T", "s", "camshaft cap 20 Nm", [], "db"), ("3", "VCC-000003", "camshaft notes", None, "s", "about the camshaft", [], "db"), ("4", "VCC-000004", "far", None, "s", "nothing shared", [], "db")], schema)
+    vectors = spark.createDataFrame([("3", [1.0, 0.0]), ("4", [0.2, 0.0])], "doc_id string, embedding array<float>")
+    s = tools.Store(docs, {"vectors": vectors})
+    rows = tools.search_docs(s, "camshaft cap tightening torque", 5).collect()
+    assert rows[0].conflict and "[17]" in rows[0].conflict and "[20]" in rows[0].conflict and [r.lead for r in rows if r.doc_id == "2"] == [None]
+    near = tools.search_docs(s, "camshaft cap tightening torque", 5, query_vector=[1.0, 0.0], gate=(0.9, 0.9)).collect()
+    assert near[0].doc_id == "1" and "3" in {r.doc_id for r in near} and "4" not in {r.doc_id for r in near}  # 4 shares no word and isn't very near
+
+
+def test_nearest_in_blocks(spark):
+    v = spark.range(300).selectExpr("cast(id as int) as vec_id", "array(cast(id * 37 % 101 as float), cast(id % 7 as float)) as embedding")
+    q = v.where("vec_id % 3 = 0").selectExpr("vec_id as query_id", "embedding")
+    key = lambda rows: sorted((r.query_id, r.vec_id, r["rank"]) for r in rows.collect())
+    assert key(vec.nearest_to_each(q, v, 4)) == key(vec.nearest_to_each(q, v, 4, block=7, share=11))
+
+
+def test_fill_keeps_plans_small(spark):
+    rows = spark.createDataFrame([(i, f"h{i % 50}", 10) for i in range(200)], "seq int, hash string, chars int")
+    got = cur.filled([(rows.where(f"seq % 9 = {i}"), 4) for i in range(9)], F.col("chars"), F.lit(True))
+    hashes = [r.hash for r in got.collect()]
+    assert len(hashes) == len(set(hashes)) == 36
+    assert got._jdf.queryExecution().analyzed().toString().count("Relation [") <= 9
+
+
+def test_records_are_valid(spark, sf):
+    """Every producer's records pass the contract; the fill keeps to its quotas, and frozen keys to themselves."""
+    from gristmill.operators import records as rec
+    from gristmill.plans import records as plans
+
+    made = plans._made(spark, sf)
+    for name, rows in made.items():
+        bad = rows.select(F.explode(cur.problems(F.col("messages"), rec.TOOLS)).alias("p")).groupBy("p").count().collect()
+        assert not bad and rows.count() > 0, (name, bad)
+    cases = rec.benchmark_cases(made, 3)
+    frozen = rec.frozen_manifest(cases).first()
+    assert frozen.n_cases == cases.count() and frozen.split_keys == sorted(set(frozen.split_keys)) and len(frozen.content_hash) == 64
+    keys = spark.createDataFrame([(k,) for k in frozen.split_keys], "split_key string")
+    ids = spark.createDataFrame([(i,) for i in frozen.source_ids], "source_id string")
+    kept, report = rec.generate(spark, {k: made[k] for k in (("grounded", "part"), ("grounded", "torque"), ("figure", "figure"))}, 60, (keys, ids))
+    assert not {r.split_key for r in kept.collect()} & set(frozen.split_keys) and all(r.produced <= r.target for r in report.collect())
+
+
+def test_grounding_in_results(spark):
+    """With a retriever's results a record stands only if its document was found and shows the value, or opens to it."""
+    from gristmill.operators import records as rec
+
+    docs = spark.createDataFrame([(i, f"VCC-{i}", "t", f"Pump, tightening torque: {10 + i} Nm" + "x" * (20_000 if i == 4 else 0), "S60", "2005", "B5", []) for i in range(1, 5)], "doc_id long, ref string, title string, text string, model string, year string, engine string, refs array<string>")
+    hit = lambda i, snippet: (str(i), f"VCC-{i}", "t", snippet)
+    found = spark.createDataFrame([(1, [hit(9, "no"), hit(1, "Pump 11 Nm")]), (2, [hit(2, "torn")]), (3, [hit(9, "no")]), (4, [hit(4, "torn")])], "doc_id long, results array<struct<doc_id:string,ref:string,title:string,snippet:string>>")
+    got = {r.source_ids[0]: [m.role for m in r.messages] for r in rec.grounded_values(docs, found).collect()}
+    assert got == {"VCC-1": ["system", "user", "assistant", "tool", "assistant"], "VCC-2": ["system", "user", "assistant", "tool", "assistant", "tool", "assistant"]}
