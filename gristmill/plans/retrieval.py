@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,10 +11,12 @@ from ..functions import parsers
 from ..functions import text as tx
 from ..operators import figures as fg
 from ..operators import fulltext as ft
+from ..operators import index as inv
 from ..operators import relational as rel
 from ..operators import tools
 from ..operators import vectors as vec
 from ..sources.readers import Vehicle, table
+from ..sources.stored import shared_folder
 from .tables import DOCS_SQL, TOKENS_SQL, docs, store
 
 QUERY = "the nation intake"
@@ -50,6 +54,13 @@ def ft7_bm25_strict(spark, d):
     return ft.bm25(docs(spark, d), SEARCH).select("doc_id", F.round("rank", 6).alias("rank"))
 
 
+def ft7_indexed(spark, d):
+    """SNK-7, JN-9: the same ranks from a stored index, without the texts."""
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    inv.build(docs(spark, d), path)
+    return inv.search(spark, path, SEARCH).select("doc_id", F.round("rank", 6).alias("rank"))
+
+
 def ft6_token_counts(spark, d):
     """FT-6, AGG-10: in how many documents each token stands."""
     words = docs(spark, d).select("doc_id", F.explode(F.array_distinct(tx.tokens(F.col("text")))).alias("term"))
@@ -118,7 +129,7 @@ def ft9_snippet(spark, d):
 
 def ft24_search_docs(spark, d):
     """FT-8 to FT-20 and FT-24: the whole search."""
-    return tools.search_docs(store(spark, d), "with thanes reth", 8)
+    return tools.search_docs(store(spark, d), "with thanes reth", 8).select("pos", "doc_id", F.round("rank", 6).alias("rank"), "scope", "applicability")
 
 
 def ft24_get_document(spark, d):
@@ -200,7 +211,7 @@ def set3_merged(spark, d):
     return rel.merged_lists(lex, near).select("doc_id", "src", "pos")
 
 
-QUERIES = {f.__name__: f for f in (p0_ranked_search, ft7_bm25_strict, ft6_token_counts, ft11_rerank, ft8_penalties, ft10_relaxed_tier, ft12_blended, ft14_nearest, ft15_gate, ft14_nearest_to_each, ft17_fused, ft16_filled, ft2_expansion, ft9_snippet, ft24_search_docs, ft24_get_document, ft24_list_sources, ft19_reference, ft21_conflicts, ft22_retarget, flt18_applicability, str5_engine_codes, fig1_weights, fig2_markers, fig3_scores, fig6_paths, fig7_chosen, str3_rendered, str2_stripped, set3_merged)}
+QUERIES = {f.__name__: f for f in (p0_ranked_search, ft7_bm25_strict, ft7_indexed, ft6_token_counts, ft11_rerank, ft8_penalties, ft10_relaxed_tier, ft12_blended, ft14_nearest, ft15_gate, ft14_nearest_to_each, ft17_fused, ft16_filled, ft2_expansion, ft9_snippet, ft24_search_docs, ft24_get_document, ft24_list_sources, ft19_reference, ft21_conflicts, ft22_retarget, flt18_applicability, str5_engine_codes, fig1_weights, fig2_markers, fig3_scores, fig6_paths, fig7_chosen, str3_rendered, str2_stripped, set3_merged)}
 
 _RELAXED, _STRICT = _bm25_sql(SEARCH, True), _bm25_sql(SEARCH, False)
 _BONUS = " + ".join(f"case when contains(lower(title), '{t}') then 2.0 else 0.0 end" for t in SEARCH.terms if len(t) >= 3)
@@ -209,9 +220,22 @@ _NEAR = f"near as (select a.vec_id, {_DIST} as dist from embeddings a, embedding
 _LISTS = f"{_RELAXED}, {_NEAR}, lex as (select doc_id, row_number() over (order by rank, doc_id) - 1 as pos from (select * from m order by rank, doc_id limit 12)), v as (select vec_id as doc_id, row_number() over (order by round(dist, 5), vec_id) - 1 as pos from near)"
 _FIGS = "f as (select doc_id, left(text, 300) || ' [image A1] the with ' || substr(text, 301) || ' B4204T [image M2]' as text from documents)"
 
+#: The whole search: hits with corpus statistics, both tiers with bonuses, the own one's generic documents with their penalty, the blend, then shape.
+_SEARCH_SQL = f"""{_RELAXED.replace("m as (select doc_id, title, text,", "m as (select doc_id, title, text, (" + " and ".join(f"f{i} > 0" for i in range(len(SEARCH.phrases))) + ") as strict,")},
+g as (select *, case doc_id % 3 when 0 then 'this car' when 2 then 'not vehicle-specific' else 'other vehicles' end as scope, {_BONUS} as bonus from m),
+t0 as (select doc_id, scope, strict, bonus, rank + case when scope = 'not vehicle-specific' then 1.5 else 0 end as rank from g where scope <> 'other vehicles'), t1 as (select doc_id, scope, strict, bonus, rank from g),
+c0 as (select * from (select *, row_number() over (partition by strict order by rank, doc_id) as own, row_number() over (order by rank, doc_id) as every, count(*) filter (strict) over () as ns from t0) where (strict and own <= 30) or (ns < 2 and every <= 30)),
+c1 as (select * from (select *, row_number() over (partition by strict order by rank, doc_id) as own, row_number() over (order by rank, doc_id) as every, count(*) filter (strict) over () as ns from t1) where (strict and own <= 30) or (ns < 2 and every <= 30)),
+b0 as (select *, row_number() over (order by rank - bonus, doc_id) as at_ from c0 order by rank - bonus, doc_id limit 8),
+b1 as (select *, row_number() over (order by at1) as at_ from (select *, row_number() over (order by rank - bonus, doc_id) as at1 from c1 order by rank - bonus, doc_id limit 8) where doc_id not in (select doc_id from b0)),
+k as (select least(greatest(2, 8 - (select count(*) from b0), case when (select count(*) filter (strict) from t0) = 0 and (select count(*) from t0) > 0 and (select count(*) filter (strict) from t1) > 0 then 4 else 0 end), (select count(*) from b1)) as room),
+r as (select doc_id, rank, scope, 0 as tier, at_ from b0, k where at_ <= 8 - room union all select doc_id, rank, 'other vehicles', 1, at_ from b1, k where at_ <= room)
+select (row_number() over (order by tier, at_) - 1)::int as pos, r.doc_id::varchar as doc_id, round(rank, 6) as rank, case when r.doc_id % 3 = 1 then 'other engine (not this car)' else scope end as scope, case r.doc_id % 3 when 0 then 'compatible' when 1 then 'wrong' else 'generic' end as applicability from r"""
+
 ORACLE_SQL = {
     "p0_ranked_search": f"{_RELAXED} select doc_id, round(rank, 6) as rank from m order by m.rank, doc_id limit 8",
     "ft7_bm25_strict": f"{_STRICT} select doc_id, round(rank, 6) as rank from m",
+    "ft7_indexed": f"{_STRICT} select doc_id, round(rank, 6) as rank from m",
     "ft6_token_counts": f"select term, count(*) as df from (select distinct doc_id, unnest({TOKENS_SQL.format('text')}) as term from documents) group by term",
     "ft11_rerank": f"{_RELAXED}, r as (select doc_id, rank - ({_BONUS}) as adj from m) select doc_id, round(adj, 6) as adj from r order by r.adj, doc_id limit 30",
     "ft8_penalties": f"{_RELAXED}, r as (select m.doc_id, rank + case when lang = 'de' then 6.0 else 0.0 end + case when source = 'src1' then 1.5 else 0.0 end as rank from m join documents using (doc_id)) select doc_id, round(rank, 6) as rank from r order by r.rank, doc_id limit 30",
@@ -226,6 +250,9 @@ ORACLE_SQL = {
     "str5_engine_codes": "select doc_id, 'B5254T4,B230FT,D24TIC' as codes from documents",
     "fig1_weights": "with t(term) as (values ('with'), ('thanes'), ('the')), c as (select count(*) as n from documents) select term, round(ln(1 + n / ((select count(*) from documents where contains(lower(text), term)) + 1)), 8) as weight from t, c",
     "fig2_markers": f"with {_FIGS}, a as (select doc_id, text, 0 as ordinal, 'A1' as title, strpos(text, '[image A1]') - 1 as at_ from f union all select doc_id, text, 1, 'M2', strpos(text, '[image M2]') - 1 from f) select doc_id, ordinal::int as ordinal, title, at_::int as \"at\" from a",
+    "ft24_list_sources": "select 'documents' as kind, source || '/' || lang as name, count(*) as rows from documents group by all union all select 'table', 'parts', count(*) from (select distinct l_partkey, l_suppkey from lineitem join part on l_partkey = p_partkey) union all select 'table', 'vectors', count(*) from embeddings",
+    "ft22_retarget": "select * from (values ('XC90 B6294T 2006', 'B6294T', 'B6', '2006'), ('D5244T', 'D5244T', 'D5', null), ('which car', 'B5254T4', 'B5', null), ('B4204T3 2016', 'B4204T3', 'B4', '2016')) t(spec, engine, family, year)",
+    "ft24_search_docs": _SEARCH_SQL,
     "ft19_reference": "select (row_number() over (order by doc_id) - 1)::int as pos, doc_id::varchar as doc_id, 'VCC-' || lpad(doc_id::varchar, 6, '0') as ref from documents where starts_with('VCC-' || lpad(doc_id::varchar, 6, '0'), 'VCC-000012')",
     "ft24_get_document": "select doc_id::varchar as doc_id, 'VCC-' || lpad(doc_id::varchar, 6, '0') as ref, left(split_part(text, chr(10), 1), 80) as title, substr(text, 1001, 8000) as text, length(text) as text_length, length(text) > 9000 as truncated, case when length(text) > 9000 then 9000 end as next_offset from documents where doc_id = 3",
     "str2_stripped": r"with s as (select page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \t\r\n\f\x0B]+', ' ', 'g')) as x from pages) select page_id, md5(x) as digest, length(x)::int as n from s",
