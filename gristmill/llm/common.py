@@ -146,6 +146,20 @@ def maybe_in(df: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, Col
     return joined, bit
 
 
+def hot_join(rows: DataFrame, one: DataFrame, key: str, hot: DataFrame, salt: Column, salts: int = 32) -> DataFrame:
+    """`rows` left-joined with `one`, which has a key once; rows of a key in the kept table `hot` (key) are dealt to `salts` tasks by `salt`.
+
+    Both sides ask one filter of bounded size whether a key may be hot, so they agree, also where it errs.
+    """
+    if hot.isEmpty():
+        return rows.join(one, key, "left")
+    marked, hit = maybe_in(rows, key, hot)
+    dealt = marked.withColumn("h_salt", F.when(hit, F.pmod(salt, F.lit(salts)).cast("int")).otherwise(0)).select(*rows.columns, "h_salt")
+    marked, hit = maybe_in(one, key, hot)
+    copies = F.when(hit, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(marked.select(*one.columns, F.explode(copies).alias("h_salt")), [key, "h_salt"], "left").drop("h_salt")
+
+
 PIECE = 4_000_000  # bytes of texts that a Python step works on at a time, about
 ROWS_A_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

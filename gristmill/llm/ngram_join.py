@@ -31,12 +31,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ensure, in_arrow, in_pieces, keep, maybe_in, packed, scratch, table
+from .common import ensure, hot_join, in_arrow, in_pieces, keep, maybe_in, packed, scratch, table
 
 WORDS_KEPT = 200_000  # word hashes that a task keeps
 LANES = [f"s{i}" for i in range(8)]  # of the short sketch, 64 bits each
 LONG = 4096  # bits of the long sketch, which spares hopeless pairs the exchange of whole sets
 BEST = 2  # leaders that a class is verified against in a round
+MANY = 1_000  # documents of a component that are told its name in one task
 HOT = 50_000  # members of a key that are looked up in one task
 BLOCK = 2_000  # members of a key that are held against as many others in one task
 ROUNDS = 2
@@ -225,8 +226,9 @@ def link_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 1
     """Of (doc_id, text): (doc_id, n_shingles, component_id); documents link when den * |A and B| >= num * |A or B|."""
     with scratch(docs.sparkSession):
         known = text_groups(docs, width, num, den)
-        least = known.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-        out = known.join(least, "comp", "left")
+        least = keep(known.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("many")), "least")
+        hot = keep(least.where(F.col("many") > MANY).select("comp"), "hot")
+        out = hot_join(known, least.drop("many"), "comp", hot, F.xxhash64("doc_id", "tid"))
         return keep(out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "components", lasting=1)
 
 
@@ -311,3 +313,18 @@ def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100)
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The components of documents whose sets of four-word shingles are 85% alike."""
     return link_components(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = {
+    "op6_ngram_jaccard_join": r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(list_slice(w, i, i + 3), ' ') as shingle from (select doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+e as (select x, y from p join n as nx on nx.doc_id = x join n as ny on ny.doc_id = y where 100 * c >= 85 * (nx.n + ny.n - c)),
+b as (select x, y from e union select y, x from e),
+r as (select distinct x as v, x as t from b union select r.v, b.y from r join b on b.x = r.t),
+m as (select v, min(t) as least from r group by v)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(m.least, d.doc_id) as component_id from d left join n using (doc_id) left join m on m.v = d.doc_id
+""",
+}
