@@ -17,4 +17,4 @@ QUERIES = {
     "op10_url_filter": url_filter.op10_url_filter,
 }
 
-ORACLE_SQL = {**decontaminate.ORACLE_SQL, **url_filter.ORACLE_SQL}
+ORACLE_SQL = {**ngram_join.ORACLE_SQL, **decontaminate.ORACLE_SQL, **url_filter.ORACLE_SQL}
