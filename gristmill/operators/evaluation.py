@@ -72,6 +72,13 @@ def champion_score(card: DataFrame, group: list[str] | None = None) -> DataFrame
     return card.join(weights, "metric").groupBy(*(group or [])).agg(F.round(F.sum(part), 6).alias("score"))
 
 
+def is_champion(card: DataFrame, champion: DataFrame | None) -> bool:
+    """Whether a scorecard takes the lead (EV-6): it passes all gates, and there is no champion or it scores strictly higher. Scorecards are a row a metric."""
+    if gated(card).where("not passes").count():
+        return False
+    return champion is None or champion_score(card).first().score > champion_score(champion).first().score
+
+
 def precision_recall(found: DataFrame) -> DataFrame:
     """Of (expected, value), nulls for none (AGG-15)."""
     tp = F.count_if(F.col("expected").isNotNull() & F.col("value").isNotNull() & (F.abs(F.col("value") - F.col("expected")) <= 0.05))
@@ -83,6 +90,56 @@ def rank_of(results: DataFrame, wanted: Column) -> DataFrame:
     return results.groupBy("case_id").agg(F.coalesce(F.min(F.when(wanted, F.col("pos"))), F.lit(FAR)).cast("long").alias("rank"))
 
 
+def names(ref: str | None = None, title: str | None = None) -> Column:
+    """Whether a result's reference begins so, or its title has the pattern."""
+    out = F.lit(False)
+    if ref:
+        out = out | F.coalesce(F.startswith(F.upper("ref"), F.lit(ref.upper())), F.lit(False))
+    return out | F.coalesce(F.rlike("title", F.lit(f"(?i){title}")), F.lit(False)) if title else out
+
+
+def ranking_checks(results: DataFrame, checks: list[tuple[str, str, dict]]) -> DataFrame:
+    """(check_id, ok) of checks on results (case_id, pos, ref, title, scope, lead) (EV-7).
+
+    Kinds: "above" (what is wanted stands, and not behind what isn't), "within" (it stands among the first n),
+    "absent" (it doesn't stand there) and "no lead" (no document of another engine shows its text). A check's
+    parameters name the case, and `want`, `other` (of `names`) and `n`.
+    """
+    place = lambda fits: F.coalesce(F.min(F.when(fits, F.col("pos"))), F.lit(FAR))
+    out = None
+    for check_id, kind, p in checks:
+        want, other, n = names(**p.get("want", {})), names(**p.get("other", {})), p.get("n", FAR)
+        ok = {
+            "above": (place(want) < FAR) & (place(want) <= place(other)),
+            "within": place(want) < n,
+            "absent": place(want) >= n,
+            "no lead": F.count_if(F.startswith(F.coalesce("scope", F.lit("")), F.lit("other engine")) & F.col("lead").isNotNull()) == 0,
+        }[kind]
+        row = results.where(F.col("case_id") == p["case"]).agg(F.lit(check_id).alias("check_id"), ok.alias("ok"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def turn_failures(turns: DataFrame) -> DataFrame:
+    """`turns` with `failures` and `ok` (EV-8): what an answer must and mustn't say, words that no call's arguments may hold, tools that must be used; where calls can't be seen, rules on them fail.
+
+    turns: answer, must_mention, must_not_say, tool_must_not_contain, tool_must_use, tool_calls array<struct<tool, args>> or null.
+    """
+    none = F.expr("cast(array() as array<string>)")
+    c = lambda name: F.coalesce(F.col(name), none)
+    low, calls = F.lower(F.coalesce("answer", F.lit(""))), F.coalesce("tool_calls", F.expr("cast(array() as array<struct<tool:string,args:string>>)"))
+    seen = F.col("tool_calls").isNotNull()
+    told = lambda rows, text: F.transform(rows, lambda x: F.concat(F.lit(text + " "), x))
+    failures = F.concat(
+        told(F.filter(c("must_mention"), lambda w: ~F.contains(low, F.lower(w))), "missing"),
+        told(F.filter(c("must_not_say"), lambda w: F.contains(low, F.lower(w))), "said"),
+        F.when(~seen & (F.size(c("tool_must_not_contain")) + F.size(c("tool_must_use")) > 0), F.array(F.lit("calls not observable"))).otherwise(none),
+        told(F.filter(c("tool_must_not_contain"), lambda w: F.exists(calls, lambda x: F.contains(F.lower(x["args"]), F.lower(w)))), "call contains"),
+        told(F.when(seen, F.array_except(c("tool_must_use"), F.transform(calls, lambda x: x["tool"]))).otherwise(none), "not used"),
+    )
+    return turns.withColumn("failures", failures).withColumn("ok", F.size("failures") == 0)
+
+
 def turns_pass(turns: DataFrame) -> DataFrame:
     """Whether an answer says all it must and nothing it mustn't, and used its tools (EV-8). turns: answer, must_mention, must_not_say, tools_used, tool_must_use."""
     ok = tx.contains_all(F.col("answer"), F.col("must_mention")) & ~tx.contains_any(F.col("answer"), F.col("must_not_say")) & (F.size(F.array_except("tool_must_use", "tools_used")) == 0)
@@ -97,3 +154,12 @@ def judge_requests(cases: DataFrame, model: str, most: int = 9000) -> DataFrame:
 
 def judge_cost(rows: DataFrame, per_in: float, per_out: float) -> DataFrame:
     return rows.agg(F.round(F.sum(F.col("tokens_in") * per_in + F.col("tokens_out") * per_out) / 1e6, 6).alias("cost"))
+
+
+def chosen_cases(cases: DataFrame, ids: list[str]) -> DataFrame:
+    """The cases with these ids; an unknown id is an error (FLT-24)."""
+    found = cases.where(F.col("id").isin(ids))
+    unknown = sorted(set(ids) - {r.id for r in found.select("id").distinct().collect()})  # no more than were asked for
+    if unknown:
+        raise ValueError(f"no such case: {', '.join(unknown)}")
+    return found

@@ -84,10 +84,21 @@ def ordered_paths(rows: DataFrame, refs: DataFrame, graphics: DataFrame) -> Data
     return all_.select("doc_id", "path", (F.row_number().over(Window.partitionBy("doc_id").orderBy("src", F.desc("score"), "ordinal", "path")) - 1).alias("pos"))
 
 
-def chosen(rows: DataFrame) -> DataFrame:
-    """The document with the best marker, if that passes its gate; a near miss ends the search with nothing (FIG-7)."""
-    best = rows.groupBy("doc_id").agg(F.max("score").alias("best"), F.max_by("gate", F.struct("score", -F.col("ordinal"))).alias("gate"))
-    return best.orderBy(F.desc("best"), "doc_id").limit(1).where((F.col("best") > 0) & F.col("gate"))
+def chosen(rows: DataFrame, shows: DataFrame | None = None) -> DataFrame:
+    """The document with the best marker, if that passes its gate; a near miss ends the search with nothing, and a document with nothing to show is passed over (FIG-7). shows: doc_id of those that have something."""
+    best = rows.groupBy("doc_id").agg(F.max("score").alias("best"), F.max_by("gate", F.struct("score", -F.col("ordinal"))).alias("gate")).where("best > 0")
+    if shows is not None:
+        able = shows.select("doc_id").distinct().withColumn("able", F.lit(True))
+        # a near miss counts where it stands, whether or not it could be shown
+        best = best.join(able, "doc_id", "left").where("able or not gate").drop("able")
+    return best.orderBy(F.desc("best"), "doc_id").limit(1).where("gate")
+
+
+def summary(shown: DataFrame, limit: int) -> DataFrame:
+    """One row on a document's figures (FIG-10): how many are shown and left out, and links to them as text. shown: path, served, pos."""
+    have = F.col("served").isNotNull() & (F.col("pos") < limit)
+    links = F.array_sort(F.collect_list(F.when(have, F.struct("pos", F.concat(F.lit("![figure]("), "served", F.lit(")")).alias("link")))))
+    return shown.agg(F.count_if(have).cast("int").alias("n_shown"), F.count_if(F.col("pos") >= limit).cast("int").alias("n_left_out"), F.count_if(F.col("served").isNull() & (F.col("pos") < limit)).cast("int").alias("n_missing"), F.array_join(F.transform(links, lambda x: x["link"]), "\n").alias("markdown"))
 
 
 def stored(paths: DataFrame, images: DataFrame) -> DataFrame:

@@ -237,11 +237,25 @@ def get_figures(store: Store, query: str | None = None, doc_id: str | None = Non
         fits = docs.where((tx.applicability(F.col("engine"), store.car.family) != "wrong") & (F.size("refs") > 0))
         pool = fits.join(ft.top_k(ft.bm25(fits, ft.compile_query(query or ""), relaxed=True), "rank", 12).select("doc_id"), "doc_id", "left_semi")
     rows = fg.gated(fg.scored(fg.markers(pool), fg.idf_weights(docs, terms), store.car.family), terms, {t: ft.SYNONYMS.get(t, []) for t in terms})
-    best = fg.chosen(rows).select("doc_id") if not doc_id else pool.select("doc_id")
+    shows = fg.ordered_paths(rows, refs, graphics).select("doc_id")
+    best = fg.chosen(rows, shows).select("doc_id") if not doc_id else pool.select("doc_id")
     out = fg.ordered_paths(rows, refs, graphics).join(best, "doc_id", "left_semi").where(F.col("pos") < limit)
     return fg.stored(out, store.tables["images"]) if "images" in store.tables else out
 
 
+#: What each ability of the tools needs.
+ABILITIES = {"vector search": ("vectors",), "scopes": ("profiles", "doc_profiles"), "pins": ("pins",), "parts": ("parts",), "parts by vehicle": ("parts", "profiles", "section_profiles"), "figures": ("images",)}
+
+
+def abilities(store: Store) -> DataFrame:
+    """(ability, ready, detail): whether the tables that it needs are there and hold rows (AGG-20)."""
+    spark, held = store.documents.sparkSession, {}
+    for name in sorted({t for ts in ABILITIES.values() for t in ts}):
+        held[name] = name in store.tables and not store.tables[name].isEmpty()
+    rows = [("search", not store.documents.isEmpty(), "documents")] + [(a, all(held[t] for t in ts), ", ".join(t for t in ts if not held[t]) or "ready") for a, ts in ABILITIES.items()]
+    return spark.createDataFrame(rows, "ability string, ready boolean, detail string")
+
+
 def list_sources(store: Store) -> DataFrame:
     """What the store holds: documents by source and section, and each table's rows (AGG-1 to AGG-4, AGG-20)."""
     out = store.documents.groupBy(F.lit("documents").alias("kind"), F.concat_ws("/", "db", "section").alias("name")).agg(F.count(F.lit(1)).alias("rows"))

@@ -12,6 +12,7 @@ from dataclasses import dataclass, fields, replace
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,10 +58,12 @@ def by_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def or_empty(spark: SparkSession, read, schema: str) -> DataFrame:
-    """An optional source: an empty table where it isn't there (SRC-8)."""
+    """An optional source: an empty table where it isn't there (SRC-8). A source that is there and can't be read is an error."""
     try:
         return read()
-    except Exception:  # noqa: BLE001  whatever keeps a source from being read, it counts as absent
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "DATA_SOURCE_NOT_FOUND"):
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -191,6 +194,21 @@ def rendered_files(spark: SparkSession, folder: str, extensions: tuple[str, ...]
     return files.where(ext.isin(*extensions)).select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("stem"), "path", "content")
 
 
+def first_renders(files: DataFrame, extensions: tuple[str, ...] = ("svg", "png", "gif", "jpeg")) -> DataFrame:
+    """(stem, path, content) with one file of each stem: that of the first extension in order (SRC-17)."""
+    order = F.array_position(F.lit(list(extensions)), F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)))
+    return files.groupBy("stem").agg(F.min_by(F.struct("path", "content"), F.struct(order, "path")).alias("f")).select("stem", "f.path", "f.content")
+
+
+def blob_file(df: DataFrame, path: str) -> int:
+    """Write the one binary value of a result to a file on the driver, and say how many bytes it has (SRC-16)."""
+    rows = df.limit(2).collect()
+    if len(rows) != 1 or len(rows[0]) != 1:
+        raise ValueError("the result must be one value")
+    with open(path, "wb") as f:
+        return f.write(bytes(rows[0][0]))
+
+
 def attached(spark: SparkSession, folder: str, names: list[str]) -> list[str]:
     """Register a folder's tables as views, and list what is registered (SRC-18)."""
     for n in names:

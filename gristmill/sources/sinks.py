@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,15 @@ def content_hash(df: DataFrame) -> DataFrame:
     return row.agg(F.count(F.lit(1)).alias("n"), part(1).alias("a"), part(16).alias("b")).select("n", F.sha2(F.concat_ws(":", "n", F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0))), 256).alias("content_hash"))
 
 
+def frozen_file(cases: DataFrame, path: str, key: str = "id") -> str:
+    """Write a small table of cases as JSON lines with sorted fields in order of their key, as one file on the driver; the sha256 of its bytes (SNK-10)."""
+    body = F.to_json(F.struct(*sorted(cases.columns)), {"ignoreNullFields": "false"})
+    data = "".join(f"{r.body}\n" for r in cases.select(key, body.alias("body")).orderBy(key).toLocalIterator()).encode()
+    with open(path, "wb") as f:
+        f.write(data)
+    return hashlib.sha256(data).hexdigest()
+
+
 def document_page(df: DataFrame) -> DataFrame:
     """Documents as escaped HTML pages (SNK-13)."""
     return df.withColumn("html", F.concat(F.lit("<h1>"), html_escape(F.coalesce("title", F.lit(""))), F.lit("</h1><pre>"), html_escape(F.coalesce("text", F.lit(""))), F.lit("</pre>")))

@@ -277,3 +277,68 @@ def test_grounding_in_results(spark):
     found = spark.createDataFrame([(1, [hit(9, "no"), hit(1, "Pump 11 Nm")]), (2, [hit(2, "torn")]), (3, [hit(9, "no")]), (4, [hit(4, "torn")])], "doc_id long, results array<struct<doc_id:string,ref:string,title:string,snippet:string>>")
     got = {r.source_ids[0]: [m.role for m in r.messages] for r in rec.grounded_values(docs, found).collect()}
     assert got == {"VCC-1": ["system", "user", "assistant", "tool", "assistant"], "VCC-2": ["system", "user", "assistant", "tool", "assistant", "tool", "assistant"]}
+
+
+def test_champion(spark):
+    card = lambda rate, n=10: spark.createDataFrame([(m, 0, n, (1 - rate) if m == "hallucination_rate" else rate) for m in ev.METRICS], "metric string, passed int, n int, rate double")
+    assert ev.is_champion(card(1.0), None) and not ev.is_champion(card(0.5), None) and not ev.is_champion(card(1.0, 0), None)
+    assert ev.is_champion(card(1.0), card(0.999)) and not ev.is_champion(card(1.0), card(1.0))
+
+
+def test_ranking_checks(spark):
+    rows = [("q", 0, "VCC-1-1", "Head", "this car", "x"), ("q", 1, "VCC-2", "Bolt", "other engine (not this car)", None), ("r", 0, None, "Oil", "other engine (not this car)", "leaked")]
+    results = spark.createDataFrame(rows, "case_id string, pos int, ref string, title string, scope string, lead string")
+    checks = [("a", "above", {"case": "q", "want": {"ref": "vcc-1"}, "other": {"ref": "VCC-2"}}), ("b", "above", {"case": "q", "want": {"ref": "VCC-9"}, "other": {"ref": "VCC-2"}}), ("c", "within", {"case": "q", "want": {"title": "bolt"}, "n": 1}), ("d", "within", {"case": "q", "want": {"title": "bolt"}, "n": 2}), ("e", "absent", {"case": "q", "want": {"ref": "VCC-9"}}), ("f", "no lead", {"case": "q"}), ("g", "no lead", {"case": "r"})]
+    assert {r.check_id: r.ok for r in ev.ranking_checks(results, checks).collect()} == {"a": True, "b": False, "c": False, "d": True, "e": True, "f": True, "g": False}
+
+
+def test_turn_failures(spark):
+    schema = "answer string, must_mention array<string>, must_not_say array<string>, tool_must_not_contain array<string>, tool_must_use array<string>, tool_calls array<struct<tool:string,args:string>>"
+    rows = [("Use 17 Nm", ["17 nm"], ["guess"], ["V70"], ["search_docs"], [("search_docs", '{"query": "x"}')]), ("I guess", ["17"], ["guess"], ["v70"], ["epc_part"], [("search_docs", '{"car": "V70"}')]), (None, [], [], [], ["epc_part"], None)]
+    got = [r.failures for r in ev.turn_failures(spark.createDataFrame(rows, schema)).collect()]
+    assert got == [[], ["missing 17", "said guess", "call contains v70", "not used epc_part"], ["calls not observable"]]
+    with pytest.raises(ValueError, match="zz"):
+        ev.chosen_cases(spark.createDataFrame([("a",)], "id string"), ["a", "zz"])
+
+
+def test_figures_fall_through(spark):
+    rows = spark.createDataFrame([("a", 0, 3.0, True), ("b", 0, 2.0, True), ("c", 0, 1.0, False)], "doc_id string, ordinal int, score double, gate boolean")
+    able = lambda *ids: spark.createDataFrame([(i,) for i in ids], "doc_id string")
+    pick = lambda shows: [r.doc_id for r in fg.chosen(rows, shows).collect()]
+    assert pick(None) == ["a"] and pick(able("b", "c")) == ["b"] and pick(able("c")) == []
+    shown = spark.createDataFrame([("x.cgm", "x.svg", 0), ("y", None, 1), ("z.png", "z.png", 2)], "path string, served string, pos int")
+    assert tuple(fg.summary(shown, 2).first()) == (1, 1, 1, "![figure](x.svg)")
+
+
+def test_optional_sources_and_frozen_files(spark, tmp_path):
+    assert readers.or_empty(spark, lambda: spark.read.parquet(str(tmp_path / "none")), "a int").count() == 0
+    with pytest.raises(ZeroDivisionError):
+        readers.or_empty(spark, lambda: 1 / 0, "a int")
+    import hashlib
+
+    cases = spark.createDataFrame([("b", None), ("a", 1)], "id string, n int")
+    digest = sinks.frozen_file(cases, str(tmp_path / "cases.jsonl"))
+    data = (tmp_path / "cases.jsonl").read_bytes()
+    assert data == b'{"id":"a","n":1}\n{"id":"b","n":null}\n' and digest == hashlib.sha256(data).hexdigest()
+    files = spark.createDataFrame([("s", "/x/s.png", b"1"), ("s", "/x/s.svg", b"2"), ("t", "/x/t.gif", b"3")], "stem string, path string, content binary")
+    assert {r.stem: r.path for r in readers.first_renders(files).collect()} == {"s": "/x/s.svg", "t": "/x/t.gif"}
+    assert readers.blob_file(files.where("stem = 't'").select("content"), str(tmp_path / "blob")) == 1
+
+
+def test_abilities(spark):
+    docs = spark.createDataFrame([("1", "t", "x")], "doc_id string, title string, text string")
+    pins = spark.createDataFrame([], "module string")
+    got = {r.ability: (r.ready, r.detail) for r in tools.abilities(tools.Store(docs, {"pins": pins, "parts": docs})).collect()}
+    assert got["search"][0] and got["parts"] == (True, "ready") and got["pins"] == (False, "pins") and got["parts by vehicle"] == (False, "profiles, section_profiles")
+
+
+def test_index_phrases(spark, tmp_path):
+    from gristmill.operators import index
+
+    docs = spark.createDataFrame([(1, "gear oil", "the gear oil. Gear oil!"), (2, "oil", "gear, then oil"), (3, None, None)], "doc_id long, title string, text string")
+    index.build(docs, str(tmp_path / "index"), 4)
+    for q in ("gear oil", "oil", "headlight", "gear box"):
+        query = ft.compile_query(q, phrases={"gear oil": ["gear oil"]})
+        for relaxed in (False, True):
+            got = {r.doc_id: round(r["rank"], 9) for r in index.search(spark, str(tmp_path / "index"), query, relaxed).collect()}
+            assert got == {r.doc_id: round(r["rank"], 9) for r in ft.bm25(docs, query, relaxed).collect()}
