@@ -100,8 +100,29 @@ def section_documents(parts: DataFrame) -> DataFrame:
     qty = F.when(F.col("qty").isNotNull() & (F.col("qty") != 1), F.concat(F.lit(" (qty "), F.col("qty").cast("string"), F.lit(")"))).otherwise("")
     line = F.concat(F.lit("- "), F.coalesce("part_number", F.lit("")), F.lit(" "), F.coalesce("description", F.lit("")), qty, F.when(F.col("type_id") == 5, " [non-stocked]").otherwise(""))
     lines = F.array_sort(F.collect_list(F.struct("seq", line.alias("line"))))
-    out = parts.groupBy("section_id", "section_title").agg(lines.alias("lines"))
-    return out.select("section_id", F.concat(F.lit("# "), "section_title", F.lit("\n"), F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("text"))
+    group = F.min("function_group") if "function_group" in parts.columns else F.lit(None).cast("string")
+    out = parts.groupBy("section_id", "section_title").agg(lines.alias("lines"), group.alias("group"))
+    path = F.coalesce(F.concat(F.lit("_Function group: "), F.nullif(F.trim("group"), F.lit("")), F.lit("_\n\n")), F.lit(""))
+    return out.select("section_id", F.concat(F.lit("# "), "section_title", F.lit("\n"), path, F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("text"))
+
+
+def under_breadcrumbs(docs: DataFrame, crumbs: DataFrame) -> DataFrame:
+    """`docs` with their breadcrumb, where they have one, before the text (PRJ-6)."""
+    rows = docs.join(crumbs.select("doc_id", "breadcrumb"), "doc_id", "left")
+    head = F.coalesce(F.concat(F.lit("_Section: "), F.nullif("breadcrumb", F.lit("")), F.lit("_\n\n")), F.lit(""))
+    return rows.withColumn("text", F.concat(head, F.coalesce("text", F.lit("")))).drop("breadcrumb")
+
+
+def titled(title: Column, kind: Column, text: Column, ref: Column) -> Column:
+    """A title, or in its place the kind and the first line, or the reference where there is no line (PRJ-8). A component and its value on lines of their own count as one line."""
+    flat = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("component: "), F.lit("")), F.lit("\n\nvalue: "), F.lit(" — "))
+    first = F.left(F.substring_index(flat, "\n", 1), F.lit(80))
+    return F.coalesce(F.when(F.trim(title) != "", title), F.concat(F.coalesce(kind, F.lit("document")), F.lit(": "), F.nullif(first, F.lit(""))), ref)
+
+
+def states_values(title: Column, text: Column, ref: Column) -> Column:
+    """Whether a document that can be cited is a table of spec values or orders to tighten to one (FLT-6)."""
+    return ((F.coalesce(title, F.lit("")) == "Tightening torque") | F.coalesce(text.like("%Tighten to %Nm%"), F.lit(False))) & ref.isNotNull()
 
 
 def breadcrumbs(tree: DataFrame, most: int = 4) -> DataFrame:

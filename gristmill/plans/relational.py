@@ -43,6 +43,21 @@ def flt4_flt5_infix(spark, d):
     return p.where(F.col("p_name").ilike("%re%") | F.col("p_brand").ilike("%3%") | F.col("p_type").ilike("%tin%")).select("p_partkey")
 
 
+_STATED = "select doc_id, case when doc_id % 3 = 0 then 'Tightening torque' else left(split_part(text, chr(10), 1), 80) end as title, text || case when doc_id % 4 = 0 then ' Tighten to 5 Nm.' else '' end as text, case when doc_id % 5 > 0 then 'VCC' end as ref from documents"
+
+
+@query(f"with t as ({_STATED}) select doc_id from t where (title = 'Tightening torque' or text like '%Tighten to %Nm%') and ref is not null")
+def flt6_stated(spark, d):
+    k = F.col("doc_id")
+    t = docs(spark, d).select("doc_id", F.when(k % 3 == 0, "Tightening torque").otherwise(F.col("title")).alias("title"), F.concat("text", F.when(k % 4 == 0, " Tighten to 5 Nm.").otherwise("")).alias("text"), F.when(k % 5 > 0, "VCC").alias("ref"))
+    return t.where(rel.states_values(F.col("title"), F.col("text"), F.col("ref"))).select("doc_id")
+
+
+@query(f"with t as ({DOCS_SQL}) select doc_id, case when doc_id % 2 = 0 and trim(title) <> '' then title when text <> '' and left(split_part(text, chr(10), 1), 80) <> '' then section || ': ' || left(split_part(text, chr(10), 1), 80) else 'VCC' end as title from t")
+def prj8_titled(spark, d):
+    return docs(spark, d).select("doc_id", rel.titled(F.when(F.col("doc_id") % 2 == 0, F.col("title")), F.col("section"), F.col("text"), F.lit("VCC")).alias("title"))
+
+
 @query("select doc_id from documents where text not like '%,%' and length(text) > 200 and (text ilike 'th%' or text ilike 'in%')")
 def flt6_flt7_compound(spark, d):
     t = table(spark, d, "documents")

@@ -342,3 +342,14 @@ def test_index_phrases(spark, tmp_path):
         for relaxed in (False, True):
             got = {r.doc_id: round(r["rank"], 9) for r in index.search(spark, str(tmp_path / "index"), query, relaxed).collect()}
             assert got == {r.doc_id: round(r["rank"], 9) for r in ft.bm25(docs, query, relaxed).collect()}
+
+
+def test_sections_and_titles(spark):
+    rows = spark.createDataFrame([(1, "Hub", 2, "22", "nut", 1, 4, "A / B"), (1, "Hub", 1, "11", "seal", 2, 5, "A / B"), (2, "Rim", 1, "33", None, 1, 4, " ")], "section_id int, section_title string, seq int, part_number string, description string, qty int, type_id int, function_group string")
+    got = {r.section_id: r.text for r in rel.section_documents(rows).collect()}
+    assert got == {1: "# Hub\n_Function group: A / B_\n\n- 11 seal (qty 2) [non-stocked]\n- 22 nut", 2: "# Rim\n- 33 "}
+    docs = spark.createDataFrame([("a", "x"), ("b", "y")], "doc_id string, text string")
+    crumbs = spark.createDataFrame([("a", "Engine | Head")], "doc_id string, breadcrumb string")
+    assert {r.doc_id: r.text for r in rel.under_breadcrumbs(docs, crumbs).collect()} == {"a": "_Section: Engine | Head_\n\nx", "b": "y"}
+    t = lambda *a: one(spark, rel.titled(*(F.lit(x).cast("string") for x in a)))
+    assert [t("T", "k", "x", "r"), t(" ", "spec", "component: Nut\n\nvalue: 5 Nm\nmore", "r"), t(None, None, "x", "r"), t(None, "k", "", "r")] == ["T", "spec: Nut — 5 Nm", "document: x", "r"]
