@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -22,14 +23,24 @@ SPEC_INTENT = r"(?i)\btorque|\btightening|\bnm\b|\bnewton|\btighten"
 LEADING_VERBS = ("Replacing", "Removing", "Installing", "Checking", "Replacement of")
 
 
+#: Accented small letters and the plain letters that they are built on, by Unicode's own decompositions.
+ACCENTED = {c: plain for c in map(chr, (*range(0xDF, 0x250), *range(0x1E00, 0x1F00))) if c.islower() and (plain := unicodedata.normalize("NFD", c)[0]) != c and plain.isascii()}
+
+
+def folded(text: Column) -> Column:
+    """Lower-cased, without accents; only texts beyond ASCII are looked through for these."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(F.octet_length(low) > F.length(low), F.translate(low, "".join(ACCENTED), "".join(ACCENTED.values()))).otherwise(low)
+
+
 def tokens(text: Column) -> Column:
-    """Index tokens: lower-cased runs of letters and digits (FT-6)."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    """Index tokens: lower-cased runs of letters and digits without accents (FT-6)."""
+    return F.filter(F.split(folded(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
 def token_words(text: Column) -> Column:
     """The index tokens as one text, a space between each two."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(folded(text), r"[^\p{L}\p{N}]+", " "))
 
 
 def word_total(words: Column) -> Column:

@@ -74,10 +74,14 @@ def compile_query(text: str, mined: dict[str, list[str]] | None = None, phrases:
 
 
 def counted(docs: DataFrame, query: Query) -> DataFrame:
-    """`docs` (doc_id, title, text, ...) with `dl` and, for phrase i, the weighted hits `f{i}`; texts are folded once."""
-    out = docs.withColumns({"_tw": tx.token_words(F.col("title")), "_bw": tx.token_words(F.col("text"))})
-    out = out.withColumns({"dl": tx.word_total(F.col("_tw")) + tx.word_total(F.col("_bw")), "_tl": tx.spaced_line(F.col("_tw")), "_bl": tx.spaced_line(F.col("_bw"))})
-    return out.withColumns({f"f{i}": TITLE_WEIGHT * tx.hits(F.col("_tl"), p) + BODY_WEIGHT * tx.hits(F.col("_bl"), p) for i, p in enumerate(query.phrases)}).drop("_tw", "_bw", "_tl", "_bl")
+    """`docs` (doc_id, title, text, ...) with `dl` and, for phrase i, the weighted hits `f{i}`; texts are folded once.
+
+    The counts come out of a generator of one row, which filters on them don't pass: else Spark counts in the filter and again behind it.
+    """
+    words = docs.withColumns({"_tw": tx.token_words(F.col("title")), "_bw": tx.token_words(F.col("text"))})
+    lines = words.select(*docs.columns, (tx.word_total(F.col("_tw")) + tx.word_total(F.col("_bw"))).alias("dl"), tx.spaced_line(F.col("_tw")).alias("_tl"), tx.spaced_line(F.col("_bw")).alias("_bl"))
+    counts = [(TITLE_WEIGHT * tx.hits(F.col("_tl"), p) + BODY_WEIGHT * tx.hits(F.col("_bl"), p)).alias(f"f{i}") for i, p in enumerate(query.phrases)]
+    return lines.select(*docs.columns, F.inline(F.array(F.struct("dl", *counts))))
 
 
 @dataclass

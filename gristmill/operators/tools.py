@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import parsers
 from ..functions import text as tx
 from ..sources.readers import Vehicle
 from ..sources.stored import storing
@@ -201,10 +202,11 @@ def lookup_pin(store: Store, module: str | None = None, pin: str | None = None,
     if pin and (m := re.fullmatch(r"\s*([A-Za-z]+)\s*:?\s*(\d+)\s*", pin)):
         connector, number = m[1].upper(), m[2]
     rows = store.tables["pins"]
-    words = [F.exists(F.array(F.coalesce("function", F.lit("")), F.coalesce("goes_to", F.lit("")), F.coalesce("notes", F.lit(""))), lambda c, t=t: F.contains(F.lower(c), F.lit(t))) for t in tx.query_terms(query or "")]
     both = None
-    for w in words:
-        both = w if both is None else both & w
+    if query:  # each word of the query, stemmed, among the stemmed words of the pin (FT-6)
+        have = parsers.stemmed(tx.tokens(F.concat_ws(" ", "function", "goes_to", "notes")))
+        wanted = dict.fromkeys(parsers.porter_stem(w) for t in tx.query_terms(query) for w in tx.index_phrase(t).split())
+        both = F.size(F.array_except(F.array(*map(F.lit, wanted)), have)) == 0 if wanted else None
     rows = rows.where(rel.only([F.upper("module") == module.upper() if module else None, F.upper("connector") == connector if connector else None, F.col("pin") == number if number else None, both]))
     rows = rows.join(store.tables["components"].select(F.col("component_id").alias("goes_to"), F.col("description").alias("component")), "goes_to", "left") if "components" in store.tables else rows
     rows = rows.orderBy("module", "connector", tx.leading_int(F.col("pin")), "pin").limit(limit + 1)

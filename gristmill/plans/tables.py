@@ -11,7 +11,7 @@ from ..sources.readers import Vehicle, table
 
 #: DuckDB forms of the same.
 DOCS_SQL = "select doc_id, left(split_part(text, chr(10), 1), 80) as title, text, lang as section, source as db from documents"
-TOKENS_SQL = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+TOKENS_SQL = r"list_filter(regexp_split_to_array(strip_accents(lower({0})), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:

@@ -353,3 +353,12 @@ def test_sections_and_titles(spark):
     assert {r.doc_id: r.text for r in rel.under_breadcrumbs(docs, crumbs).collect()} == {"a": "_Section: Engine | Head_\n\nx", "b": "y"}
     t = lambda *a: one(spark, rel.titled(*(F.lit(x).cast("string") for x in a)))
     assert [t("T", "k", "x", "r"), t(" ", "spec", "component: Nut\n\nvalue: 5 Nm\nmore", "r"), t(None, None, "x", "r"), t(None, "k", "", "r")] == ["T", "spec: Nut — 5 Nm", "document: x", "r"]
+
+
+def test_accents_and_stems(spark):
+    assert one(spark, F.array_join(tx.tokens(F.lit("Été, ÜBER-Größe ñandú Ålesund straße")), " ")) == "ete uber große nandu alesund straße"
+    assert one(spark, tx.token_words(F.lit(" Déjà-vu 2É "))) == "deja vu 2e"
+    pins = spark.createDataFrame([("CEM", "A", "1", "heating relays", "X1", None), ("CEM", "A", "2", "heat", None, "relay"), ("CEM", "B", "3", "relaying nothing", None, None)], "module string, connector string, pin string, function string, goes_to string, notes string")
+    store = tools.Store(spark.createDataFrame([("1", "t")], "doc_id string, text string"), {"pins": pins})
+    assert [r.pin for r in tools.lookup_pin(store, query="heated relay").collect()] == ["1", "2"]
+    assert [r.pin for r in tools.lookup_pin(store, module="cem", pin="B:3").collect()] == ["3"]
