@@ -240,6 +240,12 @@ ORACLE_SQL = {
     "ft11_rerank": f"{_RELAXED}, r as (select doc_id, rank - ({_BONUS}) as adj from m) select doc_id, round(adj, 6) as adj from r order by r.adj, doc_id limit 30",
     "ft8_penalties": f"{_RELAXED}, r as (select m.doc_id, rank + case when lang = 'de' then 6.0 else 0.0 end + case when source = 'src1' then 1.5 else 0.0 end as rank from m join documents using (doc_id)) select doc_id, round(rank, 6) as rank from r order by r.rank, doc_id limit 30",
     "ft10_relaxed_tier": f"{_RELAXED}, t as (select doc_id, rank, doc_id in (select doc_id from h where " + " and ".join(f"f{i} > 0" for i in range(len(SEARCH.phrases))) + ") as strict from m), n as (select count(*) filter (strict) as ns from t), k as (select *, row_number() over (partition by strict order by rank, doc_id) as own, row_number() over (order by rank, doc_id) as every from t) select doc_id, strict, round(rank, 6) as rank from k, n where (strict and own <= 30) or (ns < 2 and every <= 30)",
+    "ft12_blended": f"{_RELAXED}, base as (select k.doc_id, lang, k.rank - k.bonus as adj from (select doc_id, rank, {_BONUS} as bonus from m order by rank, doc_id limit 30) k join documents using (doc_id)), b0 as (select doc_id, row_number() over (order by adj, doc_id) as at_ from base where lang = 'en' order by adj, doc_id limit 10), b1 as (select doc_id, row_number() over (order by at1) as at_ from (select doc_id, row_number() over (order by adj, doc_id) as at1 from base order by adj, doc_id limit 10) where doc_id not in (select doc_id from b0)), k as (select least(greatest(2, 10 - (select count(*) from b0)), (select count(*) from b1)) as room), r as (select doc_id, 0 as tier, at_ from b0, k where at_ <= 10 - room union all select doc_id, 1, at_ from b1, k where at_ <= room) select (row_number() over (order by tier, at_) - 1)::int as pos, doc_id, tier from r",
+    "ft2_expansion": """select * from (values
+('headlight bolt torque', '("headlight" OR "headlamp") AND ("bolt" OR "screw") AND ("torque")', '"headlight" OR "headlamp" OR "bolt" OR "screw" OR "torque"'),
+('how to reset', '("to") AND ("reset" OR "initializing" OR "initialization" OR "calibration")', '"to" OR "reset" OR "initializing" OR "initialization" OR "calibration"'),
+('valve cover gap', '("valve" OR "camshaft") AND ("cover") AND ("gap" OR "clearance" OR "electrode")', '"valve" OR "camshaft" OR "cover" OR "gap" OR "clearance" OR "electrode"'),
+('procedure', '("procedure")', '"procedure"')) t(query, strict, relaxed)""",
     "ft14_nearest": f"with {_NEAR} select vec_id, round(dist, 5) as dist from near",
     "ft15_gate": f"with {_NEAR}, r as (select vec_id, round(dist, 5) as dist from near) select * from r where dist <= 1.35 and dist - (select min(dist) from r) <= 0.15",
     "ft14_nearest_to_each": f"with p as (select b.vec_id as query_id, a.vec_id, {_DIST} as dist from embeddings a, embeddings b where b.vec_id % 50 = 0), r as (select *, row_number() over (partition by query_id order by dist, vec_id) as k from p) select query_id, vec_id, round(dist, 4) as dist from r where k <= 5",
@@ -250,6 +256,7 @@ ORACLE_SQL = {
     "str5_engine_codes": "select doc_id, 'B5254T4,B230FT,D24TIC' as codes from documents",
     "fig1_weights": "with t(term) as (values ('with'), ('thanes'), ('the')), c as (select count(*) as n from documents) select term, round(ln(1 + n / ((select count(*) from documents where contains(lower(text), term)) + 1)), 8) as weight from t, c",
     "fig2_markers": f"with {_FIGS}, a as (select doc_id, text, 0 as ordinal, 'A1' as title, strpos(text, '[image A1]') - 1 as at_ from f union all select doc_id, text, 1, 'M2', strpos(text, '[image M2]') - 1 from f) select doc_id, ordinal::int as ordinal, title, at_::int as \"at\" from a",
+    "fig3_scores": f"with {_FIGS}, a as (select doc_id, text, 0 as ordinal, strpos(text, '[image A1]') - 1 as at_ from f union all select doc_id, text, 1, strpos(text, '[image M2]') - 1 from f), w as (select *, lower(substr(text, greatest(at_ - 240, 0) + 1, at_ + 240 - greatest(at_ - 240, 0))) as near, contains(substr(text, greatest(at_ - 280, 0) + 1, least(at_, 280)), 'B4204') or contains(substr(text, at_ + 1, 280), 'B4204') as other from a) select doc_id, ordinal::int as ordinal, round(case when other then -1.0 else (contains(near, 'the')::int * 1.0 + contains(near, 'with')::int * 2.0) * case ordinal when 1 then 0.6 else 1.0 end end, 6) as score from w",
     "ft24_list_sources": "select 'documents' as kind, source || '/' || lang as name, count(*) as rows from documents group by all union all select 'table', 'parts', count(*) from (select distinct l_partkey, l_suppkey from lineitem join part on l_partkey = p_partkey) union all select 'table', 'vectors', count(*) from embeddings",
     "ft22_retarget": "select * from (values ('XC90 B6294T 2006', 'B6294T', 'B6', '2006'), ('D5244T', 'D5244T', 'D5', null), ('which car', 'B5254T4', 'B5', null), ('B4204T3 2016', 'B4204T3', 'B4', '2016')) t(spec, engine, family, year)",
     "ft24_search_docs": _SEARCH_SQL,
