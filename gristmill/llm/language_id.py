@@ -31,7 +31,7 @@ SENTENCE = re.compile(r"[.!?。！？\n]+")
 UNKNOWN = "und"
 #: The bounds of the fit: training documents of a language, about, picked by a hash of the id among those of at most so many characters.
 DOCS_PER_LANG, LONGEST = 100, 100_000
-MANY = 100_000  # languages whose shares are broadcast; beyond, ids are joined by a shuffle
+MOST_LANGS = 500  # languages that are learned at most, those of the most documents: the field has a weight for each two of them
 LEAST_RUN, SPLICE = 8, 40  # words of the shuffled runs of sentences, and of a training sequence, at least
 STEPS, RATE, DECAY = 60, 0.15, 1e-4  # of the fit
 BLOCK = 64  # words of a block in forward-backward
@@ -261,11 +261,11 @@ def training_runs(docs: DataFrame, most: int = DOCS_PER_LANG, longest: int = LON
     rows = docs.where("text is not null and lang is not null and lang <> '' and doc_id is not null").where(~held_out(F.col("doc_id"), 4, 2)).where(F.length("text") <= longest)
     with scratch(docs.sparkSession):
         names = keep(rows.select("doc_id", "lang"), "training-rows")  # without texts, which stay in their scan
-        share = keep(names.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(most) / F.count(F.lit(1))).alias("share")), "shares")
-        share = F.broadcast(share) if share.limit(MANY + 1).count() <= MANY else share
+        counts = names.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS)
+        share = F.broadcast(counts.select("lang", F.least(F.lit(1.0), F.lit(most) / F.col("n")).alias("share")))
         chosen = names.join(share, "lang").where(F.pmod(F.xxhash64(F.lit("pick"), "doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("doc_id").distinct()
         chosen = keep(chosen, "chosen", lasting=1)
-    picked = rows.join(F.broadcast(chosen), "doc_id")  # about `most` ids a language
+    picked = rows.join(F.broadcast(chosen), "doc_id")  # about `most` ids for each of MOST_LANGS languages
     found = sorted((r.lang, r.text) for r in picked.select("lang", "text").distinct().collect())
     return [(lang, run) for lang, text in found for run in runs_of(text)]
 
