@@ -198,6 +198,17 @@ def fig7_chosen(spark, d):
     return fg.chosen(rows)
 
 
+#: Each document as archived markup, its whole text a paragraph of one line.
+_FLAT = r"[\x00-\x20\x7F]+"
+
+
+def str3_xml_rendered(spark, d):
+    clean = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+    flat = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), _FLAT, " "))
+    page = F.concat(F.lit('<sheet docno="'), F.col("doc_id").cast("string"), F.lit('"><title>'), clean(F.coalesce("source", F.lit("none"))), F.lit("</title><section><warning>"), clean(F.coalesce("lang", F.lit("none"))), F.lit("</warning><para>"), clean(flat), F.lit("</para></section></sheet>"))
+    return table(spark, d, "documents").select("doc_id", parsers.xml_rendered(page).alias("r")).select("doc_id", "r.docno", "r.root", "r.md", F.size("r.images").alias("n_images"))
+
+
 def str3_rendered(spark, d):
     return table(spark, d, "pages").select("page_id", parsers.rendered("html").alias("r")).select("page_id", "r.md", F.size("r.images").alias("n_images"))
 
@@ -211,7 +222,7 @@ def set3_merged(spark, d):
     return rel.merged_lists(lex, near).select("doc_id", "src", "pos")
 
 
-QUERIES = {f.__name__: f for f in (p0_ranked_search, ft7_bm25_strict, ft7_indexed, ft6_token_counts, ft11_rerank, ft8_penalties, ft10_relaxed_tier, ft12_blended, ft14_nearest, ft15_gate, ft14_nearest_to_each, ft17_fused, ft16_filled, ft2_expansion, ft9_snippet, ft24_search_docs, ft24_get_document, ft24_list_sources, ft19_reference, ft21_conflicts, ft22_retarget, flt18_applicability, str5_engine_codes, fig1_weights, fig2_markers, fig3_scores, fig6_paths, fig7_chosen, str3_rendered, str2_stripped, set3_merged)}
+QUERIES = {f.__name__: f for f in (p0_ranked_search, ft7_bm25_strict, ft7_indexed, ft6_token_counts, ft11_rerank, ft8_penalties, ft10_relaxed_tier, ft12_blended, ft14_nearest, ft15_gate, ft14_nearest_to_each, ft17_fused, ft16_filled, ft2_expansion, ft9_snippet, ft24_search_docs, ft24_get_document, ft24_list_sources, ft19_reference, ft21_conflicts, ft22_retarget, flt18_applicability, str5_engine_codes, fig1_weights, fig2_markers, fig3_scores, fig6_paths, fig7_chosen, str3_rendered, str3_xml_rendered, str2_stripped, set3_merged)}
 
 _RELAXED, _STRICT = _bm25_sql(SEARCH, True), _bm25_sql(SEARCH, False)
 _BONUS = " + ".join(f"case when contains(lower(title), '{t}') then 2.0 else 0.0 end" for t in SEARCH.terms if len(t) >= 3)
@@ -262,5 +273,6 @@ ORACLE_SQL = {
     "ft24_search_docs": _SEARCH_SQL,
     "ft19_reference": "select (row_number() over (order by doc_id) - 1)::int as pos, doc_id::varchar as doc_id, 'VCC-' || lpad(doc_id::varchar, 6, '0') as ref from documents where starts_with('VCC-' || lpad(doc_id::varchar, 6, '0'), 'VCC-000012')",
     "ft24_get_document": "select doc_id::varchar as doc_id, 'VCC-' || lpad(doc_id::varchar, 6, '0') as ref, left(split_part(text, chr(10), 1), 80) as title, substr(text, 1001, 8000) as text, length(text) as text_length, length(text) > 9000 as truncated, case when length(text) > 9000 then 9000 end as next_offset from documents where doc_id = 3",
+    "str3_xml_rendered": r"with s as (select doc_id, coalesce(source, 'none') as source, coalesce(lang, 'none') as lang, trim(regexp_replace(coalesce(text, ''), '[\x00-\x20\x7F]+', ' ', 'g')) as x from documents) select doc_id, doc_id::varchar as docno, 'sheet' as root, concat_ws(chr(10) || chr(10), '# ' || source, '**WARNING:** ' || lang, nullif(x, '')) as md, 0 as n_images from s",
     "str2_stripped": r"with s as (select page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '[ \t\r\n\f\x0B]+', ' ', 'g')) as x from pages) select page_id, md5(x) as digest, length(x)::int as n from s",
 }

@@ -69,6 +69,21 @@ def test_parsers():
     assert parsers.xml_text("<a>x <b>y</b></a>") == "x y" and parsers.xml_text("<a>") is None
 
 
+def test_archived_markup():
+    page = """<sheet docno="D1" IE-ID="e1"><metadata>no</metadata><title>T</title>lead<section><title>S</title><procedure><title>P</title>
+      <ptxt>Turn <emph>left</emph>until <href>en-GBx</href><href>it  stops</href><href title="See">0800c8af1</href></ptxt></procedure></section>
+      <list1><item><ptxt>one</ptxt><list2><item>two</item></list2><note>mind</note></item></list1><hint>Hm</hint><caution/>
+      <row><entry>a</entry><entry/><other>x</other></row><graphic><href title="A1">i.png</href><href>j.png</href><href>i.png</href></graphic>
+      <value unit="mm"> 5 </value><component>bolt</component><xref>0900c8af7</xref><xref><href title="Guide"/></xref><diagnostic>own<p>kept</p></diagnostic>tail</sheet>"""
+    md, images, docno, ie_id, root = parsers.render_xml(page)
+    assert md.split("\n\n") == ["# T", "lead", "## S", "### P", "Turn **left** until [it stops][See]", "- one twomind", "**NOTE:** mind", "**HINT:** Hm", "| a | |", "_[image A1]_", "value: 5 mm", "component: bolt", "[Guide]", "kept", "tail"]
+    assert images == ["i.png", "j.png"] and (docno, ie_id, root) == ("D1", "e1", "sheet")
+    assert parsers.render_xml("<n:a xmlns:n='u'><n:para>x</n:para></n:a>")[0] == "x"
+    assert parsers.render_xml("<a><p>x</b> y") == ("x y", [], None, None, None) and parsers.render_xml(None)[0] == "" == parsers.render_xml(b"")[0]
+    deep = "<section>" * 3000 + "<title>d</title>" + "</section>" * 3000
+    assert parsers.render_xml(deep)[0] == "###### d" and parsers.render_xml("<p>" + "<sub>" * 3000 + "d" + "</sub>" * 3000 + "</p>")[0] == "d"
+
+
 def test_incremental_and_prune(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "doc_id string, hash string")
     new = spark.createDataFrame([("a", "1"), ("b", "9"), ("d", "4")], "doc_id string, hash string")
