@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+cloudpickle.register_pickle_by_value(sys.modules["gristmill"])
 
 K = 40
 CEILING, MARGIN, UNANCHORED = 0.92, 0.16, 0.74  # distances of the gate: tuned to one embedding, so parameters
@@ -21,15 +30,78 @@ def nearest(vectors: DataFrame, query: list[float], k: int = K, vector: str = "e
     return rows.orderBy("dist", key).limit(k)
 
 
-def nearest_to_each(queries: DataFrame, vectors: DataFrame, k: int = K, block: int = 10_000, share: int = 50_000) -> DataFrame:
-    """(query_id, vec_id, dist, rank), exact for any number of queries: a task holds a block of queries against a share of the vectors, and keeps k for each query before rows are exchanged."""
+TILE = 4_000_000  # approximate distances that a task holds at a time: 32 MB of doubles
+
+
+def matrix(lists: pa.Array) -> np.ndarray:
+    """Vectors as rows of doubles. NaN stands where one has no such element; a null vector has none."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    values = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    width = int(sizes.max(initial=0))
+    if (sizes == width).all():
+        return values.reshape(len(sizes), width)
+    out = np.full((len(sizes), width), np.nan)
+    out[np.arange(width) < sizes[:, None]] = values
+    return out
+
+
+def exact(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """L2 distances of one vector to many, summed in order of the elements; those that either lacks don't count, and with none in common there is no distance (NaN)."""
+    total, common = np.zeros(len(rows)), np.zeros(len(rows), bool)
+    for j in range(min(len(q), rows.shape[1])):
+        d = rows[:, j] - q[j]
+        there = ~np.isnan(d)
+        total += np.where(there, d * d, 0.0)
+        common |= there
+    return np.where(common, np.sqrt(total), np.nan)
+
+
+def nearest_in(q: np.ndarray, v: np.ndarray, keys: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, rows of `v`, distances) of the k nearest by exact distance, then key; vectors without a distance come last.
+
+    A product of matrices bounds each distance; those within its error of the k-th are computed again one by one.
+    """
+    out, width = [], max(q.shape[1], v.shape[1])
+    q, v = (np.pad(x, ((0, 0), (0, width - x.shape[1])), constant_values=np.nan) for x in (q, v))
+    whole = np.isfinite(v).all(axis=1)
+    odd, even = np.flatnonzero(~whole), np.flatnonzero(whole)
+    plain = v[even]
+    squares, step = (plain * plain).sum(axis=1), max(1, TILE // max(1, len(v)))
+    for begin in range(0, len(q), step):
+        tile = q[begin : begin + step]
+        own = (tile * tile).sum(axis=1)
+        near = own[:, None] + squares - 2.0 * (tile @ plain.T)
+        some = len(even) > k
+        border = np.partition(near, k - 1, axis=1)[:, k - 1] if some else None
+        slack = 1e-13 * (width + 8) * (own + squares.max(initial=0.0))
+        for i in range(len(tile)):
+            sure = some and np.isfinite(own[i]) and np.isfinite(border[i])
+            at = np.concatenate((even[near[i] <= border[i] + slack[i]], odd)) if sure else np.arange(len(v))
+            dist = exact(tile[i], v[at])
+            best = np.lexsort((keys[at], dist))[:k]  # NaN is last
+            out.append((begin + i, at[best], dist[best]))
+    return out
+
+
+def nearest_to_each(queries: DataFrame, vectors: DataFrame, k: int = K, block: int = 8_192, share: int = 8_192) -> DataFrame:
+    """(query_id, vec_id, dist, rank), exact for any number of queries: a task holds a block of queries against a share of the vectors, and sends k for each query on. What a task holds is bounded by both."""
     blocks, shares = max(1, -(-queries.count() // block)), max(1, -(-vectors.count() // share))
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q = queries.select("query_id", F.col("embedding").alias("q"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")).withColumn("share", each(shares))
     v = vectors.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(shares)).cast("int").alias("share")).withColumn("block", each(blocks))
-    rows = v.join(q, ["block", "share"]).select("query_id", "vec_id", "share", distance(F.col("embedding"), F.col("q")).alias("dist"))
-    near = rows.withColumn("n", F.row_number().over(Window.partitionBy("query_id", "share").orderBy("dist", "vec_id"))).where(F.col("n") <= k)
-    return near.select("query_id", "vec_id", "dist").withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("dist", "vec_id"))).where(F.col("rank") <= k)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, keys = left["query_id"], right["vec_id"]
+        order = np.argsort(pa.compute.sort_indices(keys).to_numpy())  # a key's place among the keys
+        found = nearest_in(matrix(left["q"]), matrix(right["embedding"]), order, k) if left.num_rows and right.num_rows else []
+        of = np.repeat([i for i, _, _ in found], [len(at) for _, at, _ in found]).astype(np.int64)
+        at, dist = (np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in (1, 2))
+        return pa.table({"query_id": ids.take(pa.array(of)), "vec_id": keys.take(pa.array(at.astype(np.int64))), "dist": pa.array(dist, pa.float64(), from_pandas=True)})
+
+    schema = T.StructType([T.StructField("query_id", q.schema["query_id"].dataType), T.StructField("vec_id", v.schema["vec_id"].dataType), T.StructField("dist", T.DoubleType())])
+    near = q.groupBy("block", "share").cogroup(v.groupBy("block", "share")).applyInArrow(run, schema)
+    return near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.asc_nulls_last("dist"), "vec_id"))).where(F.col("rank") <= k)
 
 
 def gated(hits: DataFrame, ceiling: float = CEILING, margin: float = MARGIN, unanchored: float = UNANCHORED, anchored: Column | None = None) -> DataFrame:
