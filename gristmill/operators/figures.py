@@ -38,9 +38,12 @@ def around(text: Column, at: Column, width: int) -> Column:
 
 
 def nearest_engine(text: Column, at: Column, width: int = ENGINE_WINDOW) -> Column:
-    """The engine code nearest to a place: the last one before it or the first one after it."""
-    before = F.substring(text, F.greatest(F.lit(0), at - width) + 1, F.least(at, F.lit(width)))
+    """The engine code nearest to a place: the last one before it or the first one after it. The rest of a word that the window's edge cuts is no code, nor is a number cut short."""
+    # one character more on either side tells whether a word or a number is cut
+    before = F.substring(text, F.greatest(F.lit(0), at - width - 1) + 1, F.least(at, F.lit(width + 1)))
+    before = F.when(at > width, F.regexp_replace(before, r"^(?s:.)(?:\B\w+)?", "")).otherwise(before)
     after = F.substring(text, at + 1, F.lit(width))
+    after = F.when(F.rlike(F.substring(text, at + width, F.lit(2)), F.lit("^[0-9]{2}")), F.regexp_replace(after, "[0-9]+$", "")).otherwise(after)
     left, right = tx.engine_codes(before), tx.engine_codes(after)
     last, first = F.try_element_at(left, F.lit(-1)), F.try_element_at(right, F.lit(1))
     gap_left = F.length(F.call_function("substring_index", before, last, F.lit(-1))) + F.length(last)
