@@ -67,6 +67,7 @@ def vehicle_of(rows: DataFrame) -> Column:
 
 def valued_documents(docs: DataFrame) -> DataFrame:
     """Documents that state a spec value, with the first: component and value (DS-1)."""
+    parsers.small_batches(docs.sparkSession)
     first = F.try_element_at(parsers.parse_specs("text"), F.lit(1))
     return docs.where(F.rlike("text", F.lit(tx.MAGNITUDE))).withColumn("spec", first).where("spec is not null").select("*", "spec.component", "spec.value").drop("spec")
 
