@@ -203,6 +203,7 @@ _FLAT = r"[\x00-\x20\x7F]+"
 
 
 def str3_xml_rendered(spark, d):
+    parsers.small_batches(spark)
     clean = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
     flat = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), _FLAT, " "))
     page = F.concat(F.lit('<sheet docno="'), F.col("doc_id").cast("string"), F.lit('"><title>'), clean(F.coalesce("source", F.lit("none"))), F.lit("</title><section><warning>"), clean(F.coalesce("lang", F.lit("none"))), F.lit("</warning><para>"), clean(flat), F.lit("</para></section></sheet>"))
