@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import records as rec
 from ..sources.readers import table
-from .tables import docs, parts
+from .tables import docs, least_parts
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -60,7 +60,7 @@ def ds9_grounded_values(spark, d):
 
 @query("with p as (select p_partkey::varchar as part_number, p_name, p_brand, (2000 + p_size % 10)::varchar as year from part where p_partkey in (select l_partkey from lineitem)) select '[VEHICLE] ' || year || ' ' || p_brand || ' [/VEHICLE]' || chr(10) || 'What is part ' || part_number || '?' as question, part_number || ' is the ' || p_name || ' (this car).' as answer, p_brand || '|part' as split_key from p")
 def ds9_grounded_parts(spark, d):
-    return _said(rec.grounded_parts(parts(spark, d), _vehicles(spark, d)))
+    return _said(rec.grounded_parts(least_parts(spark, d), _vehicles(spark, d)))
 
 
 @query(f"with {_D}, q as (select *, left(trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), 400) as quote from d where length(text) >= 120) select {_CAR} || 'How do I go about this: ' || {_TITLE} || '?' as question, 'See ' || ref || coalesce(' — ' || nullif(trim(title), ''), '') || ': ' || left(quote, 200) || case when length(quote) > 200 then '…' else '' end as answer, model || '|procedure' as split_key from q where length(trim(quote)) >= 30")
@@ -80,7 +80,7 @@ def ds9_elicitations(spark, d):
 
 @query("with p as (select p_partkey::varchar as part_number, p_name, p_brand, (2000 + p_size % 10)::varchar as year from part where p_partkey in (select l_partkey from lineitem)) select '[VEHICLE] ' || year || ' ' || p_brand || ' [/VEHICLE]' || chr(10) || 'Does the ' || p_name || ' also fit the ' || year || ' ' || p_brand || 'x?' as question, 'Part ' || part_number || ' is listed for ' || year || ' ' || p_brand || 'x too; verify by VIN before you order.' as answer, p_brand || '|cross' as split_key from p")
 def ds9_cross_vehicles(spark, d):
-    return _said(rec.cross_vehicles(parts(spark, d), _vehicles(spark, d)))
+    return _said(rec.cross_vehicles(least_parts(spark, d), _vehicles(spark, d)))
 
 
 @query(f"with {_D}, r as (select *, row_number() over w as n, lead(doc_id) over w as second from d where length(text) >= 120 window w as (partition by model order by doc_id)) select '[VEHICLE] ' || r.year || ' ' || r.model || ' [/VEHICLE]' || chr(10) || 'Where is it told: ' || trim(r.title) || '?' as question, 'In ' || s.ref || coalesce(' — ' || nullif(trim(s.title), ''), '') || '.' as answer, r.model || '|multi' as split_key from r join d s on s.doc_id = r.second where n % 2 = 1")
@@ -99,7 +99,7 @@ def ds9_refusals(spark, d):
 
 
 def _made(spark, d):
-    return rec.producers(_docs(spark, d), parts(spark, d), _vehicles(spark, d), _pins(spark, d))
+    return rec.producers(_docs(spark, d), least_parts(spark, d), _vehicles(spark, d), _pins(spark, d))
 
 
 @query("select * from (values ('grounded/part', 126), ('grounded/torque', 94), ('grounded/procedure', 78), ('grounded/pinout', 16), ('refusal/refusal', 68), ('elicitation/elicitation', 46), ('cross_vehicle/cross_vehicle', 46), ('multi_turn/multi_turn', 68), ('figure/figure', 28)) t(example_type, target)")

@@ -10,7 +10,7 @@ from ..operators import synonyms as syn
 from ..operators import tools
 from ..sources.readers import table
 from ..sources.sinks import canonical, content_hash
-from .tables import DOCS_SQL, EDGES_SQL, PARTS_SQL, PROFILES_SQL, docs, edges, parts, profiles, store
+from .tables import DOCS_SQL, EDGES_SQL, PARTS_SQL, PROFILES_SQL, docs, edges, least_parts, parts, profiles, store
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -205,7 +205,7 @@ def agg3_agg4_counts(spark, d):
 
 @query(f"with p as ({PARTS_SQL}) select part_number, arg_min(description, section_id) as description, min(section_id) as section_id, min(section_title) as section_title from p where part_number not in ('', 'ns') and trim(description) <> '' group by part_number")
 def agg5_parts(spark, d):
-    return rel.parts_list(parts(spark, d))
+    return rel.parts_list(least_parts(spark, d))
 
 
 @query("select distinct c_mktsegment, c_nationkey from customer order by c_mktsegment, c_nationkey limit 20")

@@ -18,11 +18,28 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", title_of(F.col("text")).alias("title"), "text", F.col("lang").alias("section"), F.col("source").alias("db"))
 
 
+ROWS_A_TASK = 1_000_000  # of sold parts, that a task makes distinct, in some hundred MB
+
+
 def parts(spark: SparkSession, d: str) -> DataFrame:
-    """Parts of sections: a supplier is a section."""
-    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("section_id")).distinct()
+    """Parts of sections: a supplier is a section. The more rows, the more tasks make them distinct; the join keeps to these."""
+    li = _sold(spark, d)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-li.count() // ROWS_A_TASK))
+    return _described(spark, d, li.repartition(tasks, "p_partkey").distinct())
+
+
+def least_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Each part of `parts` once, in its least section, for those who take no other: a minimum of numbers by key before any text is joined."""
+    return _described(spark, d, _sold(spark, d).groupBy("p_partkey").agg(F.min("section_id").alias("section_id")))
+
+
+def _sold(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("section_id"))
+
+
+def _described(spark: SparkSession, d: str, sold: DataFrame) -> DataFrame:
     p = table(spark, d, "part").select("p_partkey", F.col("p_partkey").cast("string").alias("part_number"), F.col("p_name").alias("description"), F.col("p_brand").alias("section_title"))
-    return li.join(p, "p_partkey").select("part_number", "description", "section_id", "section_title")
+    return sold.join(p, "p_partkey").select("part_number", "description", "section_id", "section_title")
 
 
 PARTS_SQL = "select distinct p_partkey::varchar as part_number, p_name as description, l_suppkey as section_id, p_brand as section_title from lineitem join part on l_partkey = p_partkey"

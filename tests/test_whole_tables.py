@@ -74,3 +74,20 @@ def test_conflicts_among_all_documents(spark, tmp_path):
     texts = {i: "nothing here" for i in range(20)} | {100: "thanes reth", 301: "filler " * 500 + "thanes\nintake hose 33 Nm, thanes"}
     spark.createDataFrame([(i, t, "en", "src1") for i, t in texts.items()], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     assert [tuple(r) for r in catalog.QUERIES["ft21_conflicts"](spark, str(tmp_path)).collect()] == [([19], [20, 33], [20, 33])]
+
+
+def test_least_sections(spark, tmp_path, monkeypatch):
+    """AGG-5: no pairs of parts and sections are kept where the least section is asked; where all are, the tasks grow with the rows."""
+    from gristmill.plans import tables
+
+    spark.createDataFrame([(k, s) for k in (1, 2, 3) for s in (9, 7, 7, 8)] + [(4, None), (None, 1), (99, 1)], "l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, f"p{k}", "b", 1) for k in (1, 2, 3, 4, 5)], "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = catalog.QUERIES["agg5_parts"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == [(str(k), f"p{k}", 7 if k < 4 else None, "b") for k in (1, 2, 3, 4)]
+    parts = catalog.QUERIES["ds9_grounded_parts"](spark, str(tmp_path))
+    assert parts.count() == 4
+    for plan in (got, parts):
+        assert "Aggregate [p_partkey#" in (said := plan._jdf.queryExecution().optimizedPlan().toString()) and "section_id#" not in said.split("Aggregate [p_partkey#")[1].split("]")[0]
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 1)
+    assert "hashpartitioning(p_partkey#" in (said := tables.parts(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()) and ", 15)" in said
+    assert tables.parts(spark, str(tmp_path)).count() == 10
