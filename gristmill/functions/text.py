@@ -6,7 +6,7 @@ import re
 import unicodedata
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words that a query drops, unless nothing else is left.
@@ -252,3 +252,8 @@ def pin_citation(module: Column, connector: Column, pin: Column, source: Column,
 
 def part_citation(number: Column) -> Column:
     return F.concat(F.lit("EPC/PartItems/"), number)
+
+
+def settled(df: DataFrame, *columns: Column) -> DataFrame:
+    """A select whose columns are made once a row: what is asked of them later doesn't repeat what they are made of, as filters do that are moved before a projection."""
+    return df.select(F.inline(F.array(F.struct(*columns))))

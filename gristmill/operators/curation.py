@@ -95,6 +95,23 @@ def short_enough(records: DataFrame, chars: Column, most: int = MAX_TOKENS) -> D
     return records.where(estimated_tokens(chars) <= most)
 
 
+SPARE = 1_000  # rows that are looked at beyond twice those wanted, before all rows are made different
+
+
+def first_different(rows: DataFrame, key: str, order: str, n: int, but: DataFrame | None = None) -> DataFrame:
+    """The first `n` rows by `order` and `key` of different keys that `but` (key) lacks, stored.
+
+    The first rows, repeats among them, hold the first of each key in them. So a few go through a heap in each task, and only
+    where these hold fewer different keys than are wanted, and aren't all, are all rows exchanged and sorted by key.
+    """
+    one_each = lambda x: x.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_n = 1").drop("_n")
+    new = lambda x: x if but is None else x.join(but.select(key), key, "left_anti")
+    few = 2 * n + SPARE
+    first = stored(rows.orderBy(order, key).limit(few), "first")
+    took = stored(one_each(new(first)).orderBy(order, key).limit(n), "kept")
+    return took if took.count() == n or first.count() < few else stored(one_each(new(rows)).orderBy(order, key).limit(n), "kept")
+
+
 def filled(producers: list[tuple[DataFrame, int]], chars: Column, valid: Column, most: int = MAX_TOKENS) -> DataFrame:
     """The first `target` records of each producer in turn that are short, valid and new (DS-7). Producers: hash, seq, ...; few, so the loop is over plans, not rows.
 
@@ -103,11 +120,7 @@ def filled(producers: list[tuple[DataFrame, int]], chars: Column, valid: Column,
     """
     kept = None
     for rows, target in producers:
-        rows = rows.where(estimated_tokens(chars) <= most).where(valid)
-        if kept is not None:
-            rows = rows.join(kept.select("hash"), "hash", "left_anti")
-        first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("hash").orderBy("seq"))).where("_n = 1").drop("_n")
-        took = stored(first.orderBy("seq").limit(target), "kept")
+        took = first_different(rows.where(estimated_tokens(chars) <= most).where(valid), "hash", "seq", target, kept)
         kept = took if kept is None else kept.unionByName(took)
     return kept
 

@@ -55,7 +55,7 @@ def result_json(*rows: Column) -> Column:
 def record(rows: DataFrame, kind: str, answer: str, messages: list[Column] | Column, key: Column, sources: Column, vehicle: Column | None = None, order: Column | None = None) -> DataFrame:
     """Records of `rows` (DS-11); `order` is their place within the producer."""
     all_ = F.concat(F.array(cur.message("system", F.lit(SYSTEM))), messages if isinstance(messages, Column) else F.array(*messages))
-    out = rows.select(F.lit(kind).alias("example_type"), F.lit(answer).alias("answer_type"), all_.alias("messages"), (vehicle if vehicle is not None else F.lit(None)).cast(VEHICLE).alias("vehicle"), key.alias("split_key"), sources.cast("array<string>").alias("source_ids"), (order if order is not None else F.lit(0)).alias("seq"))
+    out = tx.settled(rows, F.lit(kind).alias("example_type"), F.lit(answer).alias("answer_type"), all_.alias("messages"), (vehicle if vehicle is not None else F.lit(None)).cast(VEHICLE).alias("vehicle"), key.alias("split_key"), sources.cast("array<string>").alias("source_ids"), (order if order is not None else F.lit(0)).alias("seq"))
     return out.withColumns({"hash": cur.record_hash(F.col("messages")), "chars": F.length(F.to_json("messages"))})
 
 
@@ -122,7 +122,8 @@ def grounded_parts(parts: DataFrame, vehicles: DataFrame | None = None) -> DataF
 def grounded_procedures(docs: DataFrame, retrieved: DataFrame | None = None) -> DataFrame:
     """How something is done: the beginning of the document that tells it."""
     flat = F.trim(F.regexp_replace("text", r"\s+", " "))
-    rows = hit_of(procedures(docs), retrieved, F.left(flat, F.lit(SNIPPET))).withColumn("quote", F.trim(F.regexp_replace("hit.snippet", r"\s+", " "))).where(F.length("quote") >= 30)
+    told = tx.settled(procedures(docs), "doc_id", "ref", "title", "model", "year", "engine", F.left(flat, F.lit(SNIPPET)).alias("told"))
+    rows = hit_of(told, retrieved, F.col("told")).withColumn("quote", F.trim(F.regexp_replace("hit.snippet", r"\s+", " "))).where(F.length("quote") >= 30)
     title, vehicle = F.nullif(F.trim("title"), F.lit("")), vehicle_of(rows)
     question = F.concat(F.lit("How do I go about this: "), F.coalesce(title, tx.topic_of(F.col("title"))), F.lit("?"))
     answer = F.concat(F.lit("See "), tx.citation_of(F.col("ref"), F.col("doc_id").cast("string"), F.col("title")), F.lit(": "), F.left("quote", F.lit(QUOTE)), F.when(F.length("quote") > QUOTE, "…").otherwise(""))
