@@ -221,7 +221,7 @@ def benchmark_cases(made: dict[tuple[str, str], DataFrame], quota: int) -> DataF
     for (kind, answer), rows in made.items():
         asked = F.element_at(F.filter("messages", lambda m: m["role"] == "user"), 1)["content"]
         cases = rows.select(F.lit(f"{kind}/{answer}").alias("answer_type"), asked.alias("question"), F.element_at("messages", -1)["content"].alias("gold"), F.lit(kind == "refusal").alias("expect_refusal"), "split_key", "source_ids", "vehicle", F.concat(F.lit(f"{answer}-"), F.left("hash", F.lit(12))).alias("id"))
-        cases = cases.dropDuplicates(["id"]).orderBy(F.xxhash64(F.lit("bench"), "id"), "id").limit(quota)
+        cases = cur.first_different(cases.withColumn("_at", F.xxhash64(F.lit("bench"), "id")), "id", "_at", quota).drop("_at")
         out = cases if out is None else out.unionByName(cases)
     return out
 
